@@ -88,8 +88,8 @@ class Power:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = 1 << max(16, (n - 1).bit_length())
-            self.up, self.down = powers(self.base, n), powers(self.inverse, n)
+            size = 1 << max(16, (n - 1).bit_length())
+            self.up, self.down = powers(self.base, size), powers(self.inverse, size)
         return self.up[:n], self.down[:n]
 
 
@@ -150,7 +150,7 @@ def arrow_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = 2 << 20):
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = 1_000_000):
     """Parts of a batch with about `most` bytes of text, or one row: what one numpy pass holds."""
     at = 0
     column = batch.column(batch.schema.get_field_index(text))
