@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import chat_format, histogram_shards, substring_dedup, token_counts, url_filter
+from gridloom.llm import chat_format, histogram_shards, jaccard_join, substring_dedup, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
+        "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     }
 
 
