@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import chat_format, histogram_shards, jaccard_join, substring_dedup, token_counts, url_filter
+from gridloom.llm import chat_format, decontaminate, histogram_shards, jaccard_join, substring_dedup, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": url_filter.op3_url_filter,
         "op4_histogram_shards": histogram_shards.op4_histogram_shards,
+        "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_filter": url_filter.SQL,
+        "op6_decontaminate": decontaminate.SQL,
         "op7_substring_dedup": substring_dedup.SQL,
         "op9_chat_formatting": chat_format.SQL,
     }
