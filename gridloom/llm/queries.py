@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import chat_format, decontaminate, histogram_shards, jaccard_join, sequence_packing, substring_dedup, token_counts, url_filter
+from gridloom.llm import chat_format, decontaminate, histogram_shards, jaccard_join, language_id, sequence_packing, substring_dedup, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sequence_packing": sequence_packing.op2_sequence_packing,
         "op3_url_filter": url_filter.op3_url_filter,
         "op4_histogram_shards": histogram_shards.op4_histogram_shards,
+        "op5_language_id": language_id.op5_language_id,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
