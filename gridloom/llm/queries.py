@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import chat_format, decontaminate, histogram_shards, jaccard_join, language_id, sequence_packing, substring_dedup, token_counts, url_filter
+from gridloom.llm import chat_format, decontaminate, histogram_shards, jaccard_join, language_id, quality_rules, sequence_packing, substring_dedup, token_counts, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": quality_rules.op1_quality_rules,
         "op2_sequence_packing": sequence_packing.op2_sequence_packing,
         "op3_url_filter": url_filter.op3_url_filter,
         "op4_histogram_shards": histogram_shards.op4_histogram_shards,
