@@ -259,7 +259,8 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
     # exact verification within the components
     nodes = stored(near.join(classes.select(F.col("rep").alias("node"), "key", "size", "n"), "node"), "nodes")
     spread = nodes.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / VERIFY_BLOCK), F.ceil(F.sum("n") / VERIFY_SHINGLES)).alias("blocks"))
-    texts = docs.select(F.col("doc_id").alias("node"), "key", "text").join(nodes.join(spread, "root"), ["node", "key"]).dropDuplicates(["node", "key"])
+    # a sort-merge join at every size: the texts' one shuffle is then in proportion to the input
+    texts = docs.select(F.col("doc_id").alias("node"), "key", "text").join(nodes.join(spread, "root").hint("merge"), ["node", "key"]).dropDuplicates(["node", "key"])
     dealt = _by_group(_blocks(texts, "root", "node", "blocks").select("root", "b0", "b1", "side", "node", "size", "text"), "root")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
