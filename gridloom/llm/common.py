@@ -27,6 +27,24 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*(F.col(f"_c{at[n]}").alias(n) for n in names))
 
 
+def boxed(df: DataFrame) -> DataFrame:
+    """doc_id, text, and rest: all columns but the text as one struct, whatever they are called."""
+    at = {name: i for i, name in reversed(list(enumerate(df.columns)))}
+    if missing := sorted({"doc_id", "text"} - set(at)):
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    numbered = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
+    rest = F.struct(*(F.col(f"_c{i}") for i in range(len(df.columns)) if i != at["text"]))
+    return numbered.select(F.col(f"_c{at['doc_id']}").cast("long").alias("doc_id"), F.col(f"_c{at['text']}").cast("string").alias("text"), rest.alias("rest"))
+
+
+def unboxed(df: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
+    """The columns of `like` again; new: expressions for some of them."""
+    at = {name: i for i, name in reversed(list(enumerate(like.columns)))}
+    new = {"text": F.col("text"), **new}
+    given = {at[name]: value for name, value in new.items() if name in at}
+    return df.select(*(given.get(i, F.col(f"rest._c{i}")).alias(name) for i, name in enumerate(like.columns)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -121,16 +139,23 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         return mix((run[end] - run[begin]) * down[begin] + (end - begin).astype(np.uint64) * _ODD)
 
 
+def span_sums(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for the words from start to end that does not depend on where they stand (to be mixed)."""
+    with np.errstate(over="ignore"):
+        up, down = _WORDS.get(len(words) + 1)
+        run = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * up[:-1], out=run[1:])
+        return (run[end] - run[start]) * down[start]
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of every k consecutive words (texts are not told apart here)."""
     n = len(words)
     if n < k:
         return np.zeros(0, np.uint64)
+    start = np.arange(n - k + 1)
     with np.errstate(over="ignore"):
-        up, down = _WORDS.get(n + 1)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum(words * up[:-1], out=run[1:])
-        return mix((run[k:] - run[: n - k + 1]) * down[: n - k + 1])
+        return mix(span_sums(words, start, start + k))
 
 
 def arrow_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, stored, table
+from gridloom.llm.common import boxed, pick, stored, table
 
 WINDOW, GRAM = 13, 5
 #: Up to this many benchmark windows are broadcast (some 30 MB).
@@ -69,8 +69,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """documents (doc_id, text): doc_id, row_key, n_words, n_hit, items (ids as strings, sorted), spans (hit windows)."""
-    docs = pick(documents, "doc_id", "text").withColumn("row_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    """documents (doc_id, text): doc_id, text, rest, n_words, n_hit, items (ids as strings, sorted), spans (hit windows).
+
+    rest: a struct of the document's other columns.
+    """
+    docs = boxed(documents).withColumn("row_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     windows = stored(benchmark_windows(benchmark), "benchmark-windows")
     counts = dict(map(tuple, windows.groupBy("width").count().collect()))  # 13 rows at most
     if sum(counts.values()) <= BROADCAST_WINDOWS:
@@ -84,19 +87,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = reduce(DataFrame.unionByName, seeds).join(windows, ["width", "print"])
     hits = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("at", "reach", "width", F.col("item_id").cast("string").alias("item"), "win")).alias("hits"))
     judged = docs.join(hits.withColumnRenamed("doc_id", "hit_id").withColumnRenamed("row_key", "hit_key"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row_key") == F.col("hit_key")), "left")
-    judged = judged.select("doc_id", "row_key", "hits", words_of(F.col("text")).alias("words"))
+    judged = judged.select("doc_id", "text", "rest", "hits", words_of(F.col("text")).alias("words"))
 
     def places(hit: Column) -> Column:
         last = F.least(hit["at"] + hit["reach"] - 1, F.size("words") - hit["width"])
         found = F.filter(F.sequence(hit["at"], F.greatest(hit["at"], last)), lambda d: F.slice("words", d + 1, hit["width"]) == hit["win"])
         return F.transform(found, lambda d: F.struct(d.alias("start"), (d + hit["width"]).alias("end"), hit["item"].alias("item")))
 
-    judged = judged.select("doc_id", "row_key", F.size("words").cast("long").alias("n_words"), F.sort_array(F.flatten(F.transform("hits", places))).alias("spans"))
+    judged = judged.select("doc_id", "text", "rest", F.size("words").cast("long").alias("n_words"), F.sort_array(F.flatten(F.transform("hits", places))).alias("spans"))
     zero = F.struct(F.lit(0).cast("long").alias("covered"), F.lit(0).alias("upto"))
     add = lambda a, x: F.struct((a["covered"] + F.greatest(F.lit(0), x["end"] - F.greatest(a["upto"], x["start"]))).alias("covered"), F.greatest(a["upto"], x["end"]).alias("upto"))
     n_hit = F.coalesce(F.aggregate("spans", zero, add, lambda a: a["covered"]), F.lit(0).cast("long"))
     items = F.coalesce(F.sort_array(F.array_distinct(F.transform("spans", lambda x: x["item"]))), F.array().cast("array<string>"))
-    return judged.select("doc_id", "row_key", "n_words", n_hit.alias("n_hit"), items.alias("items"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,item:string>>")).alias("spans"))
+    return judged.select("doc_id", "text", "rest", "n_words", n_hit.alias("n_hit"), items.alias("items"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,item:string>>")).alias("spans"))
 
 
 def contaminated() -> Column:

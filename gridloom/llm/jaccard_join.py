@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import arrow_bytes, gram_hashes, mix, pick, slices, stored, table, word_hashes, word_spans
+from gridloom.llm.common import arrow_bytes, boxed, gram_hashes, mix, pick, slices, stored, table, unboxed, word_hashes, word_spans
 from gridloom.llm.components import components
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
@@ -290,5 +290,13 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
     return ids.select("doc_id").join(of_doc.select("doc_id", "class_id", "n_links"), "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One document of each group, the one with the least doc_id, with all its columns; those without a doc_id stay."""
+    stay = jaccard_join(documents).filter("doc_id = class_id").select("doc_id").distinct()
+    box = boxed(documents)
+    named = box.filter("doc_id IS NOT NULL").join(stay.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return unboxed(named.unionByName(box.filter("doc_id IS NULL")), documents)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, slices, table
+from gridloom.llm.common import boxed, pick, slices, table, unboxed
 
 #: The bounds of the training sample, and words kept by a worker.
 PER_LANGUAGE, SAMPLE, KEPT_WORDS = 200, 2000, 200_000
@@ -189,6 +189,16 @@ class Known:
         return names, scores
 
 
+def _known(network: Network | None) -> Known | None:
+    if network is None:
+        return None
+    mark = hash(b"".join(w.tobytes() for w in network.weights))
+    if mark not in _kept:
+        _kept.clear()
+        _kept[mark] = Known(network)
+    return _kept[mark]
+
+
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -222,13 +232,7 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     """documents (doc_id, text): doc_id, lang_pred, score. Nothing else of a row is read."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None
-        if network:
-            mark = hash(b"".join(w.tobytes() for w in network.weights))
-            if mark not in _kept:
-                _kept.clear()
-                _kept[mark] = Known(network)
-            known = _kept[mark]
+        known = _known(network)
         for batch in batches:
             for part in slices(batch):
                 names, scores = known.predict(part.column(1).to_pylist()) if known else (["und"] * part.num_rows, [0.0] * part.num_rows)
@@ -238,6 +242,20 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     return slim.mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
+def identified(documents: DataFrame, network: Network | None) -> DataFrame:
+    """The documents whose language can be told, with all their columns: those that are `und` go."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                known = _known(network)
+                names = known.predict(part.column(1).to_pylist())[0] if known else ["und"] * part.num_rows
+                yield part.filter(pa.array([n != "und" for n in names]))
+
+    box = boxed(documents)
+    return unboxed(box.mapInArrow(keep, box.schema), documents)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return identify(documents, fit(documents)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from gridloom.llm.common import arrow_bytes, gram_hashes, mix, pick, slices, stored, table, word_hashes, word_spans
+from gridloom.llm.common import arrow_bytes, boxed, gram_hashes, mix, slices, span_sums, stored, table, word_hashes, word_spans
 
 _MAX = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -78,12 +79,7 @@ class Runs:
         at = anchor_at[self.start]
         self.anchor = grams[at]
         with np.errstate(over="ignore"):
-            from gridloom.llm.common import _WORDS
-
-            up, down = _WORDS.get(n + 1)
-            run = np.zeros(n + 1, np.uint64)
-            np.cumsum(words * up[:-1], out=run[1:])
-            span = (run[self.stop + length - 1] - run[self.start]) * down[self.start]
+            span = span_sums(words, self.start, self.stop + length - 1)
             self.content = mix(mix(span) + (self.stop - self.start).astype(np.uint64) * _A + (at - self.start).astype(np.uint64) * _B)
 
     def keys(self) -> np.ndarray:
@@ -111,13 +107,18 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """documents (doc_id, text): doc_id, row_key, kept (words kept, joined by one space), n_words, n_removed."""
-    docs = pick(documents, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    """documents (doc_id, text): doc_id, text, rest, kept (words kept, joined by one space), n_words, n_removed.
+
+    rest: a struct of the document's other columns.
+    """
+    docs = boxed(documents).select(
+        "doc_id",
+        "rest",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_MAX)).alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
-        F.col("text").cast("string").alias("text"),
+        "text",
     )
+    kinds = StructType([*docs.select("doc_id", "text", "rest").schema, StructField("kept", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())])
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,10 +183,10 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
                         texts[doc] = list(compress(texts[doc], own.tolist()))
                         n_removed[doc] = n_words[doc] - len(texts[doc])
                 kept_text = pa.array([b" ".join(t).decode() for t in texts], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), kept_text, pa.array(n_words), pa.array(n_removed)], names=["doc_id", "row_key", "kept", "n_words", "n_removed"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(1), kept_text, pa.array(n_words), pa.array(n_removed)], names=kinds.names)
 
-    whole = docs.join(gone, ["id", "key"], "left").select("doc_id", "key", "text", "runs", "windows")
-    return whole.mapInArrow(keep, "doc_id long, row_key long, kept string, n_words long, n_removed long")
+    whole = docs.join(gone, ["id", "key"], "left").select("doc_id", "rest", "text", "runs", "windows")
+    return whole.mapInArrow(keep, kinds)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
