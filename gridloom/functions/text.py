@@ -13,7 +13,7 @@ BUCKET, HOST = "s3://eodata/", "https://eodata.dataspace.copernicus.eu/"
 
 def split_ids(value: Column) -> Column:
     """Ids between `|`, `,` or `;`, trimmed, without empty ones; no ids for null. First occurrences, in order."""
-    parts = F.filter(F.transform(F.split(value, "[;,|]"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(value, "[;,|]"), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.array_distinct(parts), F.array().cast("array<string>"))
 
 
@@ -63,7 +63,7 @@ def object_name(url: Column) -> Column:
 
 def raster_period(path: Column, aoi: str | None = None) -> Column:
     """The period in a composite's file name, `ndvi_<period>_<aoi>.tif`; empty if it is not one."""
-    tail = F.lit(r"ndvi_(\d{4}-(?:\d{2}|Q[1-4]))_([^/]+)\.tif$")
+    tail = r"ndvi_(\d{4}-(?:\d{2}|Q[1-4]))_([^/]+)\.tif$"
     found = F.regexp_extract(path, tail, 1)
     return found if aoi is None else F.when(F.lower(F.regexp_extract(path, tail, 2)) == aoi.lower(), found).otherwise("")
 
