@@ -136,8 +136,9 @@ def unions(tile_cells: DataFrame, total_cells: int, threshold: float, most: int,
         if found is None:
             if on_partial == "raise":
                 raise ValueError(f"only partial unions at {pdf.acq_ts.iloc[0]}")
-            return pd.DataFrame({"acq_ts": [], "tile_ids": [], "tiles_count": [], "cloud_score": [], "coverage_frac": []})
-        return pd.DataFrame({"acq_ts": [pdf.acq_ts.iloc[0]], "tile_ids": ["|".join(found[0])], "tiles_count": [len(found[0])], "cloud_score": [found[1]], "coverage_frac": [found[2]]})
+            found = ([], 0.0, 0.0)
+        made = pd.DataFrame({"acq_ts": [pdf.acq_ts.iloc[0]], "tile_ids": ["|".join(found[0])], "tiles_count": [len(found[0])], "cloud_score": [found[1]], "coverage_frac": [found[2]]})
+        return made[made.tiles_count > 0]
 
     kind = tiles.schema["acq_ts"].dataType.simpleString()
     # cells as dense numbers, so that a union is one integer

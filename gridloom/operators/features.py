@@ -60,7 +60,7 @@ def pixel_features(stack: DataFrame, axis: TimeAxis) -> DataFrame:
     Gaps keep their slots: the slope's mean time and denominator are the axis's, as are the early and late frames.
     """
     cell = Window.partitionBy("row", "col")
-    known = stack.filter("x IS NOT NULL").withColumn("month", F.month("mid"))
+    known = stack.filter("x IS NOT NULL").repartition("row", "col").withColumn("month", F.month("mid"))
     known = known.withColumn("mu", F.avg("x").over(cell)).withColumn("an", F.col("x") - F.avg("x").over(Window.partitionBy("row", "col", "month")))
     slope = F.sum((F.col("t") - axis.mean_slot) * (F.col("x") - F.col("mu")))
     slope = slope / F.lit(axis.squares) if axis.squares else F.lit(None).cast("double")
