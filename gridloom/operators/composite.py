@@ -66,3 +66,10 @@ def composite_stats(composites: DataFrame) -> DataFrame:
         F.max("ndvi").alias("ndvi_max"),
         F.try_divide(F.count_if(F.col("ndvi") < 0), F.count("ndvi")).alias("ndvi_share_negative"),
     )
+
+
+def composite_metadata(jobs: DataFrame, composites: DataFrame, aoi_id: str, cloud_masking: bool = True) -> DataFrame:
+    """jobs (acq, period): a document per composite: which scenes it used and the range of its values."""
+    used = jobs.groupBy("period").agg(F.sort_array(F.collect_set(F.col("acq").cast("string"))).alias("folders"))
+    made = used.join(composite_stats(composites), "period", "left")
+    return made.select(F.col("period").alias("label"), F.lit(aoi_id).alias("aoi_id"), F.size("folders").alias("scenes_used"), "folders", F.lit(cloud_masking).alias("cloud_masking"), "ndvi_min", "ndvi_max", "ndvi_share_negative")

@@ -96,6 +96,14 @@ def anchor_topk(spark, d):
     return _dated(catalog.top_candidates(_candidates(spark, d), 3), F.col("rank").cast("long").alias("rank"))
 
 
+@query("regular_series", CAND + " SELECT anchor::VARCHAR AS anchor, acq::VARCHAR AS acq, round(coverage_frac * 1000, 6) + 0.0 AS coverage_area FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY round(cloud_score, 12), -round(coverage_frac, 12), dist_days, tiles_count, acq) AS nth FROM cand) WHERE nth = 1")
+def regular_series(spark, d):
+    timestamps = _coverage(spark, d).select("acq_ts", F.col("max_cloud").alias("cloud_score"), "coverage_frac", "tiles_count")
+    anchors = spark.createDataFrame([(a,) for a in ANCHORS], "anchor date")
+    made = catalog.regular_series(anchors, timestamps, WINDOW_DAYS, 1000.0)
+    return made.select("anchor", F.to_date("acq_ts").alias("acq"), r6(F.col("coverage_area")).alias("coverage_area"))
+
+
 @query("series_summary", CAND + " SELECT min(cloud_score) AS low, round(median(cloud_score), 6) + 0.0 AS middle, max(cloud_score) AS high FROM cand")
 def series_summary(spark, d):
     return catalog.series_summary(_candidates(spark, d), "cloud_score").withColumn("middle", r6(F.col("middle")))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import grid, periods, spectral
-from gridloom.operators import anomaly, composite, downsample, features, mosaic, stats
+from gridloom.operators import anomaly, composite, downsample, features, footprints, mosaic, stats
 from gridloom.plans.inputs import OBS, ORD, composites_of_orders, indexed, monthly, observations, quarterly, r6, table
 from gridloom.plans.registry import query
 
@@ -377,3 +377,60 @@ def reproject_nearest(spark, d):
 def aoi_window(spark, d):
     window = grid.Grid(0.0, 100.0, 10.0, 10, 10).window(np.array([[10.0, 40.0], [70.0, 80.0]]))
     return observations(spark, d).filter(grid.in_window(window)).select("row", "col").distinct()
+
+
+# ---- metadata, layers and footprints -----------------------------------------------------------------------------------
+
+
+@query(
+    "composite_metadata",
+    OBS + """, used AS (SELECT strftime(acq, '%Y-%m') AS label, string_agg(DISTINCT acq::VARCHAR, '|' ORDER BY acq::VARCHAR) AS folders, count(DISTINCT acq)::INTEGER AS scenes_used FROM idx GROUP BY ALL)
+SELECT label, folders, scenes_used, round(min(ndvi), 6) + 0.0 AS ndvi_min, round(max(ndvi), 6) + 0.0 AS ndvi_max FROM used LEFT JOIN mon ON period = label GROUP BY ALL""",
+)
+def composite_metadata(spark, d):
+    jobs = indexed(spark, d).select("acq", periods.month_label(F.col("acq")).alias("period"))
+    made = composite.composite_metadata(jobs, monthly(spark, d), "grid")
+    return _six(made.select("label", F.array_join("folders", "|").alias("folders"), "scenes_used", "ndvi_min", "ndvi_max"), "ndvi_min", "ndvi_max")
+
+
+@query("layers_scaled", "SELECT s_suppkey AS layer_id, 30.0::DOUBLE AS dx, 30.0::DOUBLE AS dy, ((s_suppkey + 10) // 3)::INTEGER AS width, 33 AS height FROM supplier")
+def layers_scaled(spark, d):
+    layers = table(spark, d, "supplier").select(F.col("s_suppkey").alias("layer_id"), F.lit(10.0).alias("dx"), F.lit(10.0).alias("dy"), (F.col("s_suppkey") + 10).cast("int").alias("width"), F.lit(100).alias("height"))
+    return downsample.scaled(layers, 3)
+
+
+@query("layers_consistent", "SELECT s_nationkey AS mosaic_id, count(*) AS tiles, 32634 AS epsg FROM supplier GROUP BY s_nationkey")
+def layers_consistent(spark, d):
+    layers = table(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("mosaic_id"), F.col("s_suppkey").alias("tile_ord"), F.lit("float32").alias("dtype"), F.lit(32634).alias("epsg"))
+    return mosaic.consistent(layers).withColumn("mosaic_id", F.col("mosaic_id").cast("int"))
+
+
+BOXES = """WITH f AS (SELECT s_suppkey AS id, s_nationkey AS k, s_acctbal AS cloud, (s_suppkey % 10) * 10.0 AS x, (s_suppkey // 10) * 10.0 AS y FROM supplier),
+o AS (SELECT *, greatest(0, least(x + 15, 72) - greatest(x, 5)) * greatest(0, least(y + 15, 58) - greatest(y, 5)) / (67 * 53) AS frac FROM f)"""
+
+
+def _footprints(spark, d) -> DataFrame:
+    x, y = F.col("s_suppkey") % 10 * 10.0, F.floor(F.col("s_suppkey") / 10) * 10.0
+    corner = lambda a, b: F.struct((x + a).alias("x"), (y + b).alias("y"))
+    ring = F.array(corner(0.0, 0.0), corner(15.0, 0.0), corner(15.0, 15.0), corner(0.0, 15.0))
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("acq_ts"), F.col("s_acctbal").alias("cloud"), F.array(ring).alias("rings"))
+
+
+AREA = np.array([[5.0, 5.0], [72.0, 5.0], [72.0, 58.0], [5.0, 58.0]])
+
+
+@query("footprint_overlap", BOXES + " SELECT id, round(frac, 9) + 0.0 AS coverage_frac FROM o WHERE frac >= 1e-6")
+def footprint_overlap(spark, d):
+    return footprints.overlaps(_footprints(spark, d), AREA).select("id", (F.round("coverage_frac", 9) + 0.0).alias("coverage_frac"))
+
+
+@query(
+    "footprint_union",
+    BOXES
+    + """, cut AS (SELECT * FROM o WHERE frac >= 1e-6), cells AS (SELECT a + 0.5 AS px, b + 0.5 AS py FROM range(5, 72) t(a), range(5, 58) u(b)),
+area AS (SELECT k, count(DISTINCT (px, py)) / (67 * 53) AS c FROM cut JOIN cells ON px > x AND px < x + 15 AND py > y AND py < y + 15 GROUP BY k)
+SELECT k AS acq, round(any_value(c), 9) + 0.0 AS coverage_frac, count(*) AS tiles_count, min(cloud) AS min_cloud, max(cloud) AS max_cloud FROM cut JOIN area USING (k) GROUP BY k""",
+)
+def footprint_union(spark, d):
+    made = footprints.union_coverage(footprints.overlaps(_footprints(spark, d), AREA), AREA, 0.5)
+    return made.select(F.col("acq_ts").alias("acq"), (F.round("coverage_frac", 9) + 0.0).alias("coverage_frac"), F.col("tiles_count").cast("long").alias("tiles_count"), "min_cloud", "max_cloud")

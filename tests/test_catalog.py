@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry, text
-from gridloom.operators import catalog, manifest
+from gridloom.operators import catalog, footprints, manifest, mosaic
 from gridloom.schemas import require_columns
+from gridloom.settings import RunSettings, effective
 from gridloom.sources import geojson, geotiff, items, tables
 
 
@@ -160,3 +161,32 @@ def test_discovery(spark):
     files = spark.createDataFrame([("/o/ndvi_2021-05_el522.tif",), ("/o/ndvi_2020-Q1_EL522.tif",), ("/o/ndvi_2021-05-03_el522.tif",), ("/o/ndvi_anomaly_2021-05_el522.tif",), ("/o/ndvi_climatology_median_05_el522.tif",)], "path string")
     assert [r.period for r in tables.composite_files(files, "el522", first_year=2021).collect()] == ["2021-05"]
     assert {r.period for r in tables.anomaly_files(files.filter("path LIKE '%anomaly%'")).collect()} == {"2021-05"}
+
+
+def test_polygon_coverage_of_a_notched_area(spark):
+    notch = np.array([[23.0, 40.0], [23.2, 40.0], [23.2, 40.2], [23.1, 40.1], [23.0, 40.2]])
+    box = lambda x0, y0, x1, y1: [[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]]
+    rows = [("whole", 1, 5.0, box(22.9, 39.9, 23.3, 40.3)), ("west", 2, 7.0, box(22.9, 39.9, 23.1, 40.3)), ("east", 2, 9.0, box(23.1, 39.9, 23.3, 40.3)), ("far", 3, 1.0, box(10.0, 10.0, 11.0, 11.0))]
+    tiles = spark.createDataFrame(rows, "id string, acq_ts int, cloud double, rings array<array<struct<x:double,y:double>>>")
+    found = footprints.overlaps(tiles, notch, 32634)
+    frac = {r.id: r.coverage_frac for r in found.collect()}
+    assert set(frac) == {"whole", "west", "east"} and abs(frac["whole"] - 1) < 1e-9 and abs(frac["west"] - 0.5) < 2e-3
+    cover = {r.acq_ts: (r.has_full_cover, r.max_cloud) for r in footprints.union_coverage(found, notch, 0.999, 32634).collect()}
+    assert cover == {1: (True, 5.0), 2: (True, 9.0)}
+
+
+def test_modes_clamp_only_in_dev():
+    given = RunSettings(max_items=5000, max_cloud=15.0)
+    assert effective(given, "deep") == given
+    held = effective(given, "dev")
+    assert (held.max_items, held.max_cloud, held.downloads, held.resolution) == (400, 15.0, 300, 20)
+
+
+def test_mosaic_output_types():
+    nan = float("nan")
+    assert mosaic.output_type("uint16", 0.0, None) == ("uint16", 0.0)
+    assert mosaic.output_type("uint16", 0.0, 5.0) == ("uint16", 5.0)
+    assert mosaic.output_type("uint16", 0.0, nan)[0] == "float32"
+    assert mosaic.output_type("uint16", 7.0, nan, promote=False) == ("uint16", 7.0)
+    with pytest.raises(ValueError, match="NaN"):
+        mosaic.output_type("uint16", None, nan, promote=False)
