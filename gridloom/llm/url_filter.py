@@ -12,9 +12,6 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,7 +21,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, table
+from gridloom.llm.common import pick, table, work_path
 
 _MAGIC = 8  # header: four unsigned 64-bit numbers
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -41,8 +38,8 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host.translate(_LOWER), slash + path
 
 
-def write_digest_array(rules: Iterable[tuple[str, str, str]], path: str) -> None:
-    """rules: (host, path with its leading slash, verdict). One sorted array, in one file."""
+def digest_array(rules: Iterable[tuple[str, str, str]]) -> bytes:
+    """rules: (host, path with its leading slash, verdict). The sorted array's file."""
     verdicts: dict[str, str] = {}
     for host, at, verdict in rules:
         verdicts[host.translate(_LOWER) + at] = verdict
@@ -50,17 +47,26 @@ def write_digest_array(rules: Iterable[tuple[str, str, str]], path: str) -> None
     keyed = sorted((xxhash.xxh64_intdigest(k.encode()), k.encode(), names.index(v)) for k, v in verdicts.items())
     lengths = sorted({len(k) - (k.index("/") if "/" in k else len(k)) for k in verdicts})
     blob, label = b"".join(k for _, k, _ in keyed), "\n".join(names).encode()
-    with open(path, "wb") as out:
-        out.write(np.array([len(keyed), len(lengths), len(blob), len(label)], "<u8").tobytes())
-        out.write(np.array([h for h, _, _ in keyed], "<u8").tobytes())
-        out.write(np.cumsum([0, *(len(k) for _, k, _ in keyed)]).astype("<u8").tobytes())
-        out.write(np.array([v for _, _, v in keyed], "<u8").tobytes())
-        out.write(np.array(lengths, "<u8").tobytes())
-        out.write(blob + label)
+    numbers = [len(keyed), len(lengths), len(blob), len(label)]
+    numbers += [h for h, _, _ in keyed]
+    numbers += np.cumsum([0, *(len(k) for _, k, _ in keyed)]).tolist()
+    numbers += [v for _, _, v in keyed]
+    return np.array([*numbers, *lengths], "<u8").tobytes() + blob + label
+
+
+def publish(spark: SparkSession, data: bytes) -> str:
+    """Puts a file into the shared folder and has every executor fetch it; returns the name it has there."""
+    path = work_path(spark, "digests")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(data))
+    out.close()
+    spark.sparkContext.addFile(path)
+    return path.rpartition("/")[2]
 
 
 class DigestArray:
-    """A memory-mapped file of write_digest_array."""
+    """A memory-mapped file of digest_array()."""
 
     def __init__(self, path: str):
         whole = np.memmap(path, np.uint8, "r")
@@ -123,10 +129,7 @@ class DigestArray:
 def url_filter(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str = "allow") -> DataFrame:
     """pages (page_id, url): page_id, host, path, rule, verdict; default where no rule fits."""
     spark = pages.sparkSession
-    name = f"digests-{uuid.uuid4().hex}.bin"
-    local = os.path.join(tempfile.mkdtemp(prefix="gridloom-"), name)
-    write_digest_array(rules, local)
-    spark.sparkContext.addFile(local)  # every executor fetches its own copy
+    name = publish(spark, digest_array(rules))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = DigestArray(SparkFiles.get(name))

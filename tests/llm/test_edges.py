@@ -111,7 +111,7 @@ def test_url_filter(spark):
 
 def test_digest_array_confirms_strings(tmp_path):
     path = str(tmp_path / "a.bin")
-    url_filter.write_digest_array([(f"h{i}.com", "/p", "block") for i in range(1000)], path)
+    (tmp_path / "a.bin").write_bytes(url_filter.digest_array([(f"h{i}.com", "/p", "block") for i in range(1000)]))
     digests = url_filter.DigestArray(path)
     assert [bool(x >= 0) for x in digests.probe(["h7.com/p", "h7.com/q", "h1000.com/p"])] == [True, False, False]
     digests.keys = np.sort(np.full(1000, digests.keys[0]))  # every digest collides
@@ -119,7 +119,8 @@ def test_digest_array_confirms_strings(tmp_path):
 
     digests.keys[:] = xxhash.xxh64_intdigest(b"h7.com/p")
     assert digests.text(digests.probe(["h7.com/p"])[0]) == b"h7.com/p"
-    url_filter.write_digest_array([], path)
+    (tmp_path / "b.bin").write_bytes(url_filter.digest_array([]))
+    path = str(tmp_path / "b.bin")
     assert url_filter.DigestArray(path).probe(["x"]) == [-1]
 
 
