@@ -58,7 +58,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """The table written as Parquet to the shared folder and read again; lost executors don't matter."""
     path = work_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read._stored_at = path
+    return read
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a stored() table that no later plan reads."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def same_text() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stored
+from gridloom.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(root, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(root.select("u", F.col("m").alias("v")))
-        now = stored(small.distinct(), "edges")
+        last, now = now, stored(small.distinct(), "edges")
+        discard(last)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("u", "v"), 16))).first()
         if mark == seen:
             break
