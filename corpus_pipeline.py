@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate, jaccard_join, language_id, sequence_packing, substring_dedup
-from gridloom.llm.common import stored, table, unboxed
+from gridloom.llm.common import discard, stored, table, unboxed
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last is not None:
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
