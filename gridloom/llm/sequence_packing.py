@@ -18,9 +18,11 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import array
 import heapq
+import os
 import re
-import zlib
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,6 +41,9 @@ BLOCK, KEPT_WORDS = 2_000_000, 300_000
 _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)]).replace(b"\xad", b"")
 #: The tokenizer's split pattern, with its classes written out for Latin-1.
 _WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\s0-9a-zªµºß-öø-ÿ²³¹¼½¾]+")
+#: Byte-level vocabularies show printable Latin-1 bytes as themselves and the others, in turn, from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHOWN = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
 _encoders: dict[str, Encoder] = {}
 
 
@@ -46,15 +51,22 @@ class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel unit; its threads only wait
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.by_words = path.endswith("word_bpe_49k.json")  # what _WORD and the plain way hold for
+        self.model = self.library.model
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [_bytes(x.ids) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def _word(self, word: str) -> bytes:
+        """A word's ids by the library's model, which takes its bytes in their printable form."""
+        shown = word if word.isascii() else "".join(map(_SHOWN.__getitem__, word.encode()))
+        return _bytes([t.id for t in self.model.tokenize(shown)])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         odd, words = [], {}
@@ -68,7 +80,7 @@ class Encoder:
             out[i] = ids
         known = self.known
         new = list(set().union(*words.values()).difference(known)) if words else []
-        extra = dict(zip(new, self._whole(new), strict=True))
+        extra = dict(zip(new, map(self._word, new), strict=True))
         if len(known) + len(extra) <= KEPT_WORDS:
             known.update(extra)
             get = known.__getitem__
@@ -92,11 +104,7 @@ class Encoder:
 
 
 def _bytes(ids: list[int]) -> bytes:
-    import array
-
     out = array.array("I", ids)
-    import sys
-
     if sys.byteorder != "little":
         out.byteswap()
     return out.tobytes()
