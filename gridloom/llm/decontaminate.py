@@ -87,7 +87,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = reduce(DataFrame.unionByName, seeds).join(windows, ["width", "print"])
     hits = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("at", "reach", "width", F.col("item_id").cast("string").alias("item"), "win")).alias("hits"))
     judged = docs.join(hits.withColumnRenamed("doc_id", "hit_id").withColumnRenamed("row_key", "hit_key"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row_key") == F.col("hit_key")), "left")
-    judged = judged.select("doc_id", "text", "rest", "hits", words_of(F.col("text")).alias("words"))
+    # a row for the one array: no later filter or lambda gets the splitting of the text written into it
+    judged = judged.select("doc_id", "text", "rest", "hits", F.explode_outer(F.array(words_of(F.col("text")))).alias("words"))
 
     def places(hit: Column) -> Column:
         last = F.least(hit["at"] + hit["reach"] - 1, F.size("words") - hit["width"])
