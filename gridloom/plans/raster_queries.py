@@ -342,7 +342,6 @@ def embedding_stack(spark, d):
 # ---- grids ---------------------------------------------------------------------------------------------------------------
 
 RING = np.array([[0.0, 0.0], [90.0, 0.0], [90.0, 40.0], [50.0, 40.0], [50.0, 80.0], [0.0, 80.0]])
-TARGET = grid.Grid(0.0, 100.0, 5.0, 20, 20)
 
 
 @query(
@@ -367,10 +366,14 @@ def target_grid(spark, d):
 SELECT 'a' AS layer_id, g.r::INTEGER AS "row", g.c::INTEGER AS col, v AS value FROM g JOIN px ON px.r = floor((100 - y) / 10) AND px.c = floor(x / 10)""",
 )
 def reproject_nearest(spark, d):
-    pixels = observations(spark, d).filter("row < 10").groupBy("row", "col").agg(F.max("red").alias("value")).withColumn("layer_id", F.lit("a"))
-    layers = spark.range(1).select(F.lit("a").alias("layer_id"), F.lit(0.0).alias("x0"), F.lit(100.0).alias("y0"), F.lit(10.0).alias("dx"), F.lit(10.0).alias("dy"))
-    cells = spark.range(400).select(F.floor(F.col("id") / 20).cast("int").alias("row"), (F.col("id") % 20).cast("int").alias("col"))
-    return grid.reproject_nearest(cells, layers, pixels, TARGET)
+    """All cells of the source, 10 wide, onto a grid of cells 5 wide over the source's extent."""
+    pixels = observations(spark, d).groupBy("row", "col").agg(F.max("red").alias("value")).withColumn("layer_id", F.lit("a"))
+    last = pixels.agg(F.max("row"), F.max("col")).first()
+    rows, cols = (0 if n is None else n + 1 for n in last)
+    target = grid.Grid(0.0, rows * 10.0, 5.0, cols * 2, rows * 2)
+    layers = spark.range(1).select(F.lit("a").alias("layer_id"), F.lit(0.0).alias("x0"), F.lit(target.y0).alias("y0"), F.lit(10.0).alias("dx"), F.lit(10.0).alias("dy"))
+    cells = spark.range(target.height * target.width).select(F.floor(F.col("id") / target.width).cast("int").alias("row"), (F.col("id") % target.width).cast("int").alias("col"))
+    return grid.reproject_nearest(cells, layers, pixels, target)
 
 
 @query("aoi_window", OBS + f" SELECT DISTINCT {CELL} FROM obs WHERE r BETWEEN 2 AND 5 AND c BETWEEN 1 AND 6")

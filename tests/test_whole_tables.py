@@ -37,3 +37,21 @@ def test_overviews_read_every_part(spark, parts):
     got = {(r["level"], r["row"], r["col"]): r["value"] for r in registry.queries()["overview"](spark, d).collect()}
     want = {(n, r, c): v for n in (2, 4, 8, 16) for (r, c), v in np.ndenumerate(price[: 60 // n * n : n, : 40 // n * n : n])}
     assert got == want
+
+
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """1500 lines of 250 suppliers, a raster of 25 x 10; 7 bands."""
+    d = str(tmp_path_factory.mktemp("lines"))
+    n = F.col("id")
+    columns = {"l_orderkey": F.floor(n / 7), "l_linenumber": (n % 7 + 1).cast("int"), "l_suppkey": n % 250, "l_shipdate": F.lit("2021-01-01"), "l_discount": n % 11 / 100, "l_tax": n % 9 / 100, "l_quantity": n % 50}
+    spark.range(1500).select(*(v.alias(k) for k, v in columns.items())).write.parquet(f"{d}/lineitem.parquet")
+    return d
+
+
+def test_reprojection_reads_every_cell(spark, lines):
+    at = np.arange(1500)
+    source = np.zeros(250)
+    np.maximum.at(source, at % 250, at % 11 / 100)
+    want = dict(np.ndenumerate(source.reshape(25, 10).repeat(2, axis=0).repeat(2, axis=1)))
+    assert raster(spark, "reproject_nearest", lines) == want
