@@ -16,7 +16,7 @@ from gridloom.llm.common import discard, stored, table, unboxed
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told, as they have no letter, go."""
+    """Documents whose language cannot be told, as they have no letter, go; no others do, even if no row is labelled."""
     return language_id.identified(docs, language_id.fit(docs))
 
 

@@ -243,14 +243,18 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
 
 
 def identified(documents: DataFrame, network: Network | None) -> DataFrame:
-    """The documents whose language can be told, with all their columns: those that are `und` go."""
+    """The documents whose language can be told, with all their columns: those without a letter go.
+
+    Without a network (no row to train on) no language is told, and still only those without a letter go.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 known = _known(network)
-                names = known.predict(part.column(1).to_pylist())[0] if known else ["und"] * part.num_rows
-                yield part.filter(pa.array([n != "und" for n in names]))
+                texts = part.column(1).to_pylist()
+                stay = [n != "und" for n in known.predict(texts)[0]] if known else [has_letter(t) for t in texts]
+                yield part.filter(pa.array(stay, pa.bool_()))
 
     box = boxed(documents)
     return unboxed(box.mapInArrow(keep, box.schema), documents)
