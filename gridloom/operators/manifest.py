@@ -61,14 +61,19 @@ def exploded_tiles(series: DataFrame) -> DataFrame:
     return series.select("acq_ts", F.posexplode(split_ids(F.col("tile_ids"))).alias("tile_ord", "tile"))
 
 
-def missing_files(required: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    return required.join(existing.select(*keys).distinct(), keys, "left_anti")
+def of_bands(files: DataFrame, bands: tuple | None) -> DataFrame:
+    return files if bands is None else files.filter(F.col("band").isin(*bands))
 
 
-def complete_timestamps(required: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """The required files of those timestamps that miss none."""
-    short = missing_files(required, existing, keys).select("acq_ts").distinct()
-    return required.join(short, "acq_ts", "left_anti")
+def missing_files(required: DataFrame, existing: DataFrame, keys: list[str], bands: tuple | None = None) -> DataFrame:
+    """The required files that do not exist; with bands, no others are required."""
+    return of_bands(required, bands).join(existing.select(*keys).distinct(), keys, "left_anti")
+
+
+def complete_timestamps(required: DataFrame, existing: DataFrame, keys: list[str], bands: tuple | None = None) -> DataFrame:
+    """The required files of those timestamps that miss none; with bands, no others are required."""
+    short = missing_files(required, existing, keys, bands).select("acq_ts").distinct()
+    return of_bands(required, bands).join(short, "acq_ts", "left_anti")
 
 
 def first_files(files: DataFrame) -> DataFrame:

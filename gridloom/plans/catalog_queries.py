@@ -161,20 +161,24 @@ def manifest_sort_cap(spark, d):
 REQ = "WITH req AS (SELECT DISTINCT o_orderdate::DATE AS acq, l_linenumber AS band FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber <= 3), have AS (SELECT DISTINCT l_shipdate::DATE AS acq, l_linenumber AS band FROM lineitem WHERE l_quantity > 10)"
 
 
+#: The bands, by line number, that a timestamp must have.
+REQUIRED = (1, 2, 3)
+
+
 def _files(spark, d) -> tuple[DataFrame, DataFrame]:
     lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
-    required = orders.join(lines.filter("l_linenumber <= 3"), orders.o_orderkey == lines.l_orderkey).select(F.to_date("o_orderdate").alias("acq_ts"), F.col("l_linenumber").alias("band")).distinct()
+    required = orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(F.to_date("o_orderdate").alias("acq_ts"), F.col("l_linenumber").alias("band")).distinct()
     return required, lines.filter("l_quantity > 10").select(F.to_date("l_shipdate").alias("acq_ts"), F.col("l_linenumber").alias("band"))
 
 
 @query("missing_anti", REQ + " SELECT acq::VARCHAR AS acq, band FROM req WHERE (acq, band) NOT IN (SELECT acq, band FROM have)")
 def missing_anti(spark, d):
-    return manifest.missing_files(*_files(spark, d), ["acq_ts", "band"]).withColumnRenamed("acq_ts", "acq")
+    return manifest.missing_files(*_files(spark, d), ["acq_ts", "band"], REQUIRED).withColumnRenamed("acq_ts", "acq")
 
 
 @query("complete_timestamps", REQ + " SELECT acq::VARCHAR AS acq, band FROM req WHERE acq NOT IN (SELECT acq FROM req WHERE (acq, band) NOT IN (SELECT acq, band FROM have))")
 def complete_timestamps(spark, d):
-    return manifest.complete_timestamps(*_files(spark, d), ["acq_ts", "band"]).withColumnRenamed("acq_ts", "acq")
+    return manifest.complete_timestamps(*_files(spark, d), ["acq_ts", "band"], REQUIRED).withColumnRenamed("acq_ts", "acq")
 
 
 @query(

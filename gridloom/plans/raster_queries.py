@@ -42,8 +42,9 @@ def nodata_round_trip(spark, d):
     """SELECT l_orderkey AS scene, max(l_discount) AS red, max(l_tax) AS nir, max(l_quantity) FILTER (WHERE l_linenumber = 2) AS scl FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_orderkey HAVING max(l_discount) FILTER (WHERE l_linenumber = 1) IS NOT NULL""".replace("max(l_discount) AS red", "max(l_discount) FILTER (WHERE l_linenumber = 1) AS red").replace("max(l_tax) AS nir", "max(l_tax) FILTER (WHERE l_linenumber = 1) AS nir"),
 )
 def band_pivot(spark, d):
-    lines = table(spark, d, "lineitem").filter("l_linenumber <= 2")
-    bands = F.when(F.col("l_linenumber") == 1, F.array(F.struct(F.lit("B04").alias("band"), F.col("l_discount").alias("value")), F.struct(F.lit("B08").alias("band"), F.col("l_tax").alias("value")))).otherwise(F.array(F.struct(F.lit("SCL").alias("band"), F.col("l_quantity").alias("value"))))
+    """Lines as bands: the first holds B04 and B08, the second SCL, the others bands that the pivot has to ignore."""
+    lines = table(spark, d, "lineitem")
+    bands = F.when(F.col("l_linenumber") == 1, F.array(F.struct(F.lit("B04").alias("band"), F.col("l_discount").alias("value")), F.struct(F.lit("B08").alias("band"), F.col("l_tax").alias("value")))).otherwise(F.array(F.struct(F.when(F.col("l_linenumber") == 2, "SCL").otherwise(F.concat(F.lit("L"), F.col("l_linenumber").cast("string"))).alias("band"), F.col("l_quantity").alias("value"))))
     pixels = lines.select(F.col("l_orderkey").alias("scene"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.inline(bands))
     return composite.pivot_bands(pixels, {"red": "B04", "nir": "B08", "scl": "SCL"}).select("scene", "red", "nir", "scl")
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators import composite, manifest
 from gridloom.plans import registry
 
 
@@ -55,3 +56,20 @@ def test_reprojection_reads_every_cell(spark, lines):
     np.maximum.at(source, at % 250, at % 11 / 100)
     want = dict(np.ndenumerate(source.reshape(25, 10).repeat(2, axis=0).repeat(2, axis=1)))
     assert raster(spark, "reproject_nearest", lines) == want
+
+
+def test_the_pivot_meets_every_line(spark, lines, monkeypatch):
+    met, pivot = [], composite.pivot_bands
+    monkeypatch.setattr(composite, "pivot_bands", lambda pixels, bands: met.append(pixels) or pivot(pixels, bands))
+    rows = registry.queries()["band_pivot"](spark, lines).collect()
+    assert {r["band"] for r in met[0].select("band").distinct().collect()} == {"B04", "B08", "SCL", *(f"L{n}" for n in range(3, 8))}
+    n = [7 * i for i in range(215)]
+    assert sorted((r.scene, r.red, r.nir, r.scl) for r in rows) == [(i // 7, i % 11 / 100, i % 9 / 100, (i + 1) % 50 if i + 1 < 1500 else None) for i in n]
+
+
+def test_operators_choose_the_required_bands(spark):
+    required = spark.createDataFrame([("a", 1), ("a", 4), ("b", 1)], "acq_ts string, band int")
+    existing = spark.createDataFrame([("a", 1)], "acq_ts string, band int")
+    rows = lambda f, *bands: sorted(tuple(r) for r in f(required, existing, ["acq_ts", "band"], *bands).collect())
+    assert rows(manifest.missing_files, (1, 2, 3)) == [("b", 1)] and rows(manifest.complete_timestamps, (1, 2, 3)) == [("a", 1)]
+    assert rows(manifest.missing_files) == [("a", 4), ("b", 1)] and rows(manifest.complete_timestamps) == []
