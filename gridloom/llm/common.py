@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from gridloom.session import checkpoint_dir
 
 #: ASCII white space, the separators of `[^\x20\x09-\x0D]+`.
 SPACE = "[\\x20\\x09-\\x0D]+"
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = 4 << 20
+#: How many powers of a hash base a worker keeps.
+KEPT_POWERS = 1 << 19
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -70,6 +76,18 @@ def discard(df: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES, a row at least, for what follows; a smaller bound of the session stays.
+
+    Spark's own bound is 64 MB, of which every task holds several, on both sides of the pipe to Python.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(key, "64m")).lower()
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now.rstrip("b")[-1:], 1)
+    if int(now.rstrip("bkmg") or 0) * unit > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def same_text() -> Column:
     """A key that tells rows of one doc_id but different texts apart."""
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("\u0000null")).cast("binary")))
@@ -106,7 +124,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Power:
-    """Powers of an odd base and of its inverse, grown as needed and kept by the worker."""
+    """Powers of an odd base and of its inverse, grown as needed; the worker keeps up to KEPT_POWERS."""
 
     def __init__(self, base: int):
         self.base = np.uint64(base)
@@ -114,6 +132,8 @@ class Power:
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > KEPT_POWERS:  # a very long text's powers go with it
+            return powers(self.base, n), powers(self.inverse, n)
         if len(self.up) < n:
             size = 1 << max(16, (n - 1).bit_length())
             self.up, self.down = powers(self.base, size), powers(self.inverse, size)
@@ -184,15 +204,22 @@ def arrow_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = 1_000_000):
-    """Parts of a batch with about `most` bytes of text, or one row: what one numpy pass holds."""
-    at = 0
-    column = batch.column(batch.schema.get_field_index(text))
-    import pyarrow.compute as pc
-
+def _cuts(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    while at < batch.num_rows:
+    at = 0
+    while at < len(sizes):
         base = sizes[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(sizes, base + most, side="right")))
-        yield batch.slice(at, to - at)
+        yield at, to - at
         at = to
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = 250_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `most` bytes of text, or one row: what one numpy pass holds."""
+    for at, n in _cuts(batch.column(batch.schema.get_field_index(text)), most):
+        yield batch.slice(at, n)
+
+
+def text_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[pa.Array]:
+    for at, n in _cuts(texts, most):
+        yield texts.slice(at, n)

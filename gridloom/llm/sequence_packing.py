@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, slices, table
+from gridloom.llm.common import bounded_batches, pick, slices, table
 
 TOKENIZER, END, CAPACITY = "word_bpe_49k.json", 2, 4096
 #: Tokens of a packing block; words a worker keeps.
@@ -191,6 +191,7 @@ class Packer:
 
 def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """documents (doc_id, text): a row per piece: doc_id, start, length, ids (binary), doc_tokens, sequence_id, offset."""
+    bounded_batches(documents.sparkSession)
     docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 

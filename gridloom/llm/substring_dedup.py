@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from gridloom.llm.common import arrow_bytes, boxed, gram_hashes, mix, slices, span_sums, stored, table, word_hashes, word_spans
+from gridloom.llm.common import arrow_bytes, bounded_batches, boxed, gram_hashes, mix, slices, span_sums, stored, table, word_hashes, word_spans
 
 _MAX = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -111,6 +111,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
 
     rest: a struct of the document's other columns.
     """
+    bounded_batches(documents.sparkSession)
     docs = boxed(documents).select(
         "doc_id",
         "rest",

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, slices, table, work_path
+from gridloom.llm.common import bounded_batches, pick, slices, table, work_path
 
 CACHE = "content binary, tokenizer binary, n_tokens long"
 TOKENIZER = "piece_bpe_32k.model"
@@ -64,6 +64,7 @@ def _start(spark: SparkSession, cache: str) -> None:
 def token_counts(documents: DataFrame, cache: str, tokenizer: str) -> DataFrame:
     """documents (doc_id, text): doc_id, n_bytes, n_tokens. cache: the table's folder. tokenizer: its file."""
     spark = documents.sparkSession
+    bounded_batches(spark)
     version = tokenizer_digest(tokenizer)
     docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     digested = docs.withColumn("content", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))

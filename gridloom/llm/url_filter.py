@@ -21,7 +21,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, table, work_path
+from gridloom.llm.common import bounded_batches, pick, slices, table, work_path
 
 _MAGIC = 8  # header: four unsigned 64-bit numbers
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -129,6 +129,7 @@ class DigestArray:
 def url_filter(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str = "allow") -> DataFrame:
     """pages (page_id, url): page_id, host, path, rule, verdict; default where no rule fits."""
     spark = pages.sparkSession
+    bounded_batches(spark)
     name = publish(spark, digest_array(rules))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
