@@ -14,9 +14,9 @@ Result: doc_id, class_id (the least doc_id of the group), n_links (how many othe
 above, copies included). Words are runs of anything but ASCII white space, unchanged.
 
 Defined results: a text of one to four words is one shingle; null texts and texts without words have no links and are
-their own class; several rows with one doc_id are one document, judged by the text with the least hash, and each row
-gets that result; a null doc_id has no class and no links; an empty table gives an empty result; extra columns are
-ignored.
+their own class; rows that agree in doc_id and text are one document, and rows of one doc_id with different texts are
+documents of their own, each judged by its own text; a null doc_id has no class and no links; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import arrow_bytes, boxed, gram_hashes, mix, pick, slices, stored, table, unboxed, word_hashes, word_spans
+from gridloom.llm.common import arrow_bytes, bounded_batches, boxed, gram_hashes, mix, pick, slices, stored, table, unboxed, word_hashes, word_spans
 from gridloom.llm.components import components
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
@@ -118,11 +118,10 @@ def linked(sets: list[np.ndarray], side: np.ndarray | None, threshold: float, bo
     if side is not None:
         across = side[i] != side[j]
         i, j = i[across], j[across]
-    if m > 8:
-        sigs = np.array([signature(s) for s in sets])
-        parts = [at + prune(sigs[i[at : at + 65536]], sigs[j[at : at + 65536]], bounds) for at in range(0, len(i), 65536)]
-        stay = np.concatenate(parts) if parts else i[:0]
-        i, j = i[stay], j[stay]
+    sigs = np.array([signature(s) for s in sets])
+    parts = [at + prune(sigs[i[at : at + 65536]], sigs[j[at : at + 65536]], bounds) for at in range(0, len(i), 65536)]
+    stay = np.concatenate(parts) if parts else i[:0]
+    i, j = i[stay], j[stay]
     if len(i) <= 8 * m:
         common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
     else:
@@ -196,6 +195,12 @@ def _groups(batches: Iterator[pa.RecordBatch], prepare) -> Iterator[tuple[tuple,
 
 def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """documents (doc_id, text): doc_id, class_id, n_links."""
+    return judged_texts(documents, threshold, tolerance).select("doc_id", "class_id", "n_links")
+
+
+def judged_texts(documents: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """jaccard_join() with each text's key, and whether it is the one of its group that stays."""
+    bounded_batches(documents.sparkSession)
     ids = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = ids.filter("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("key", F.xxhash64("text"))
     bounds = least_matches(threshold, tolerance)
@@ -215,10 +220,14 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
 
     kinds = ", ".join(f"{c} long" for c in ["id", "key", "h1", "h2", "n", *_LONGS])
     signed = stored(docs.select(F.col("doc_id"), "text", "key").mapInArrow(sign, kinds), "signatures")
-    one = signed.groupBy("id").agg(F.min(F.struct("key", "h1", "h2", "n", *_LONGS)).alias("x")).select("id", "x.*")
+    one = signed.groupBy("id", "key").agg(*(F.first(c).alias(c) for c in ("h1", "h2", "n", *_LONGS)))
     first = [F.first(c).alias(c) for c in ("n", *_LONGS)]
     classes = one.groupBy("h1", "h2").agg(F.min(F.struct("id", "key")).alias("r"), F.count(F.lit(1)).alias("size"), *first)
-    classes = stored(classes.select("h1", "h2", F.col("r.id").alias("rep"), F.col("r.key").alias("key"), "size", "n", *_LONGS), "classes")
+    # a class is named by its least doc_id; where a doc_id has several texts, all but one are named by a hash of id and text
+    several = signed.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("id", "low")
+    classes = classes.select("h1", "h2", "r.id", "r.key", "size", "n", *_LONGS).join(several, "id", "left")
+    name = F.when(F.coalesce(F.col("key") == F.col("low"), F.lit(True)), F.col("id")).otherwise(F.xxhash64("id", "key", F.lit("of several")))
+    classes = stored(classes.select("h1", "h2", name.alias("rep"), "id", "key", "size", "n", *_LONGS), "classes")
 
     # buckets of candidates
     halves = [x for i, c in enumerate(_LONGS) for x in (F.lit(2 * i << 32) + F.col(c).bitwiseAND(0xFFFFFFFF), F.lit(2 * i + 1 << 32) + F.shiftrightunsigned(c, 32))]
@@ -257,10 +266,10 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
     near = components(dealt.mapInArrow(connect, "a long, b long").distinct())
 
     # exact verification within the components
-    nodes = stored(near.join(classes.select(F.col("rep").alias("node"), "key", "size", "n"), "node"), "nodes")
+    nodes = stored(near.join(classes.select(F.col("rep").alias("node"), "id", "key", "size", "n"), "node"), "nodes")
     spread = nodes.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / VERIFY_BLOCK), F.ceil(F.sum("n") / VERIFY_SHINGLES)).alias("blocks"))
     # a sort-merge join at every size: the texts' one shuffle is then in proportion to the input
-    texts = docs.select(F.col("doc_id").alias("node"), "key", "text").join(nodes.join(spread, "root").hint("merge"), ["node", "key"]).dropDuplicates(["node", "key"])
+    texts = docs.select(F.col("doc_id").alias("id"), "key", "text").join(nodes.join(spread, "root").hint("merge"), ["id", "key"]).dropDuplicates(["id", "key"])
     dealt = _by_group(_blocks(texts, "root", "node", "blocks").select("root", "b0", "b1", "side", "node", "size", "text"), "root")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,17 +293,24 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
     verified = stored(dealt.mapInArrow(verify, "node long, other long, links long"), "links")
     groups = components(verified.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    judged = classes.select("h1", "h2", F.col("rep").alias("node"), "size").join(groups, "node", "left").join(links, "node", "left")
-    judged = judged.select("h1", "h2", F.coalesce("root", "node").alias("class_id"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    of_doc = signed.groupBy("id").agg(F.min(F.struct("key", "h1", "h2")).alias("x")).select(F.col("id").alias("doc_id"), "x.h1", "x.h2").join(judged, ["h1", "h2"])
-    return ids.select("doc_id").join(of_doc.select("doc_id", "class_id", "n_links"), "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    judged = classes.select("h1", "h2", F.col("rep").alias("node"), "id", "key", "size").join(groups, "node", "left").join(links, "node", "left")
+    judged = stored(judged.withColumn("root", F.coalesce("root", "node")).withColumn("links", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).cast("long")), "judged")
+    least = judged.groupBy("root").agg(F.min(F.struct("id", "key")).alias("least"))
+    judged = judged.select("root", "h1", "h2", "links").join(least, "root").select("h1", "h2", "least", "links")
+    of_text = one.select("id", "key", "h1", "h2").join(judged, ["h1", "h2"]).select(F.col("id").alias("doc_id"), "key", F.col("least.id").alias("class_id"), F.col("links").alias("n_links"), (F.struct("id", "key") == F.col("least")).alias("stays"))
+    keyed = ids.select("doc_id", F.xxhash64("text").alias("key"))
+    done = keyed.join(of_text, ["doc_id", "key"], "left")
+    return done.select("doc_id", "key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("stays", F.lit(True)).alias("stays"))
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """One document of each group, the one with the least doc_id, with all its columns; those without a doc_id stay."""
-    stay = jaccard_join(documents).filter("doc_id = class_id").select("doc_id").distinct()
-    box = boxed(documents)
-    named = box.filter("doc_id IS NOT NULL").join(stay.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group with all its columns: the least doc_id, and of its texts the one with the least hash.
+
+    Rows that agree in doc_id and text are one document, of which one row stays; without a doc_id, all rows stay.
+    """
+    stay = judged_texts(documents).filter("stays AND doc_id IS NOT NULL").select("doc_id", "key").distinct()
+    box = boxed(documents).withColumn("key", F.xxhash64("text"))
+    named = box.filter("doc_id IS NOT NULL").join(stay.hint("merge"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     return unboxed(named.unionByName(box.filter("doc_id IS NULL")), documents)
 
 
