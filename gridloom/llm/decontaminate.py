@@ -5,15 +5,17 @@ mostly share theirs, so a document keeps a fingerprint where it changes, and aga
 window has its own fingerprint; the two sides are joined on it, and each hit is extended: the whole window is compared
 word by word at the nine places where it can stand. A shared span of 13 words or more therefore cannot be missed, and
 equal hashes of different words do no harm. A benchmark item of fewer than 13 words is one window; for each such length
-that occurs, every gram of that length is a fingerprint.
+that occurs, every gram of that length is a fingerprint, and where these items are few, only the grams that have one of
+their fingerprints leave the scan. All lengths' fingerprints are made in one pass over the documents.
 
 Arrays are taken apart by the outer forms of explode and inline: for the plain ones the optimizer infers a filter on the
 array's size and pushes it, with all that made the array written out inside the lambdas, below the projections.
 
-The benchmark's windows are broadcast only if a count shows that they are few; otherwise the join shuffles fingerprints.
+The benchmark's windows are broadcast only if their bytes, counted, are few; otherwise the join shuffles fingerprints.
 
 Defined results: null texts have no words; items without words have no windows; repeated items count once by item_id;
-several rows with one doc_id are judged each by its own text; a null doc_id is kept; an empty benchmark contaminates
+several rows with one doc_id are judged each by its own text; items with a null item_id are one item, which counts but has
+no name in the list; a null doc_id is kept; an empty benchmark contaminates
 nothing; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import boxed, pick, stored, table
 
 WINDOW, GRAM = 13, 5
-#: Up to this many benchmark windows are broadcast (some 30 MB).
-BROADCAST_WINDOWS = 100_000
+#: Benchmark windows are broadcast up to this size; fingerprints of short items are looked up in place up to this many.
+BROADCAST_BYTES, SHORT_PRINTS = 32 << 20, 2000
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,19 +43,29 @@ def _least_of(values: str, step: int) -> Column:
     return F.transform(values, lambda x, i: F.least(x, F.get(values, i + step)))
 
 
-def _windows(df: DataFrame, window: int) -> DataFrame:
-    """df has words: adds prints, the fingerprint of each window of so many words (empty below that many)."""
-    gram = GRAM if window == WINDOW else window
-    width = window - gram + 1
+def _grams(size: int) -> Column:
+    return F.transform("_h", lambda x, i: F.xxhash64(x, *(F.get("_h", i + k) for k in range(1, size))))
+
+
+def _reach(width: int) -> int:
+    """How many neighbouring windows of so many words one fingerprint can stand for."""
+    return WINDOW - GRAM + 1 if width == WINDOW else 1
+
+
+def _windows(df: DataFrame, widths: list[int]) -> DataFrame:
+    """df has words: adds p<width>, the fingerprint of each window of so many words (empty below that many)."""
     df = df.withColumn("_h", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn("_g", F.transform("_h", lambda x, i: F.xxhash64(x, *(F.get("_h", i + k) for k in range(1, gram)))))
-    done, least = 1, "_g"
-    while done < width:
-        step = min(done, width - done)
-        df = df.withColumn(f"_m{done + step}", _least_of(least, step))
-        done, least = done + step, f"_m{done + step}"
-    whole = F.size("words") - window + 1
-    return df.withColumn("prints", F.when(whole > 0, F.slice(F.col(least), F.lit(1), whole)).otherwise(F.array().cast("array<bigint>"))).drop(*(c for c in df.columns if c.startswith("_")))
+    for width in widths:
+        gram, name = (GRAM, f"_g{width}") if width == WINDOW else (width, f"_g{width}")
+        df = df.withColumn(name, _grams(gram))
+        done, least = 1, name
+        while done < width - gram + 1:
+            step = min(done, width - gram + 1 - done)
+            df = df.withColumn(f"_m{done + step}", _least_of(least, step))
+            done, least = done + step, f"_m{done + step}"
+        whole = F.size("words") - width + 1
+        df = df.withColumn(f"p{width}", F.when(whole > 0, F.slice(F.col(least), F.lit(1), whole)).otherwise(F.array().cast("array<bigint>")))
+    return df.drop(*(c for c in df.columns if c.startswith("_")))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -63,7 +75,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     sides = []
     for window in [*short, WINDOW]:
         own = items.filter(F.size("words") >= WINDOW if window == WINDOW else F.size("words") == window)
-        at = _windows(own, window).select("item_id", "words", F.posexplode_outer("prints").alias("at", "print")).filter("print IS NOT NULL")
+        at = _windows(own, [window]).select("item_id", "words", F.posexplode_outer(f"p{window}").alias("at", "print")).filter("print IS NOT NULL")
         sides.append(at.select(F.lit(window).alias("width"), "print", "item_id", F.slice("words", F.col("at") + 1, F.lit(window)).alias("win")))
     return reduce(DataFrame.unionByName, sides).distinct()
 
@@ -75,16 +87,26 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     docs = boxed(documents).withColumn("row_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     windows = stored(benchmark_windows(benchmark), "benchmark-windows")
-    counts = dict(map(tuple, windows.groupBy("width").count().collect()))  # 13 rows at most
-    if sum(counts.values()) <= BROADCAST_WINDOWS:
+    size = F.sum(F.aggregate("win", F.lit(64).cast("long"), lambda a, w: a + 16 + F.octet_length(w)))
+    counts = {r["width"]: r for r in windows.groupBy("width").agg(F.count_distinct("print").alias("prints"), size.alias("bytes")).collect()}  # 13 rows at most
+    if sum(r["bytes"] for r in counts.values()) <= BROADCAST_BYTES:
         windows = F.broadcast(windows)
-    seeds = []
-    for window in sorted({*counts, WINDOW}):
-        reach = WINDOW - GRAM + 1 if window == WINDOW else 1
-        prints = _windows(docs.select("doc_id", "row_key", words_of(F.col("text")).alias("words")), window).select("doc_id", "row_key", "prints")
-        kept = F.transform("prints", lambda x, i: F.when((x != F.get("prints", i - 1)) | (i % reach == 0), F.struct(x.alias("print"), i.alias("at"))))
-        seeds.append(prints.select("doc_id", "row_key", F.lit(window).alias("width"), F.lit(reach).alias("reach"), F.inline_outer(F.array_compact(kept))))
-    hits = reduce(DataFrame.unionByName, seeds).join(windows, ["width", "print"])
+    short = windows.filter(F.col("width") < WINDOW).select("width", "print").distinct()
+    few = sum(r["prints"] for w, r in counts.items() if w < WINDOW) <= SHORT_PRINTS
+    wanted: dict[int, list[int]] = {}
+    for width, mark in short.collect() if few else []:  # SHORT_PRINTS at most, as counted
+        wanted.setdefault(width, []).append(mark)
+    widths = sorted({*counts, WINDOW})
+
+    def kept(width: int) -> Column:
+        """The fingerprints of one width that go to the join, where they change and at least every reach-th."""
+        own = F.transform(f"p{width}", lambda x, i: F.when((x != F.get(f"p{width}", i - 1)) | (i % _reach(width) == 0), F.struct(F.lit(width).alias("width"), F.lit(_reach(width)).alias("reach"), x.alias("print"), i.alias("at"))))
+        if width in wanted:
+            own = F.transform(f"p{width}", lambda x, i: F.when(x.isin(wanted[width]), F.struct(F.lit(width).alias("width"), F.lit(1).alias("reach"), x.alias("print"), i.alias("at"))))
+        return F.array_compact(own)
+
+    prints = _windows(docs.select("doc_id", "row_key", words_of(F.col("text")).alias("words")), widths).select("doc_id", "row_key", *(f"p{w}" for w in widths))
+    hits = prints.select("doc_id", "row_key", F.inline_outer(F.concat(*map(kept, widths)))).join(windows, ["width", "print"])
     hits = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("at", "reach", "width", F.col("item_id").cast("string").alias("item"), "win")).alias("hits"))
     judged = docs.join(hits.withColumnRenamed("doc_id", "hit_id").withColumnRenamed("row_key", "hit_key"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row_key") == F.col("hit_key")), "left")
     # a row for the one array: no later filter or lambda gets the splitting of the text written into it
