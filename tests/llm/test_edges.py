@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -176,8 +177,9 @@ def test_language_id_held_out_accuracy(spark):
 def test_gradients_are_right():
     network = language_id.Network(["a", "b", "c"], hidden=4)
     network.weights = [w.astype(np.float64) for w in network.weights]
-    x, mask = language_id._padded([b" ab ", " é".encode(), b" hello "])
-    mask, y = mask.astype(np.float64), np.array([0, 1, 2])
+    items = [b" ab ", " é".encode(), b" hello "]
+    x = np.stack([np.frombuffer(i.ljust(8), np.uint8) for i in items], axis=1).astype(np.int64)
+    mask, y = language_id._LETTER[x].astype(np.float64), np.array([0, 1, 2])
     _, gradients = network.gradients(x, mask, y)
     for w, g in zip(network.weights, gradients, strict=True):
         for at in list(np.ndindex(w.shape))[:: max(1, w.size // 50)]:
@@ -189,6 +191,45 @@ def test_gradients_are_right():
             assert abs((high - low) / 2e-5 - g[at]) < 1e-6
 
 
+def test_windows_with_their_context_equal_one_pass_over_whole_texts(spark):
+    """A plain forward pass, a byte at a time with one carried state, against the windows that run side by side."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").select("text", "lang").collect()
+    network = language_id.Network(["de", "en", "es", "fr"])
+    network.train([r.text[:2000].encode() for r in rows], np.array([network.languages.index(r.lang) for r in rows]), steps=150)
+    texts = [r.text for r in rows[:20]] + ["é" * 700, "x", "12 34", "中文 text " * 300]
+    data, starts = language_id.arrow_bytes(pa.array(texts))
+    got, whole = network.sums(data, starts, core=128), network.sums(data, starts, core=1 << 20, halo=0)
+    for text, windowed, one in zip(texts, got, whole, strict=True):
+        x = np.frombuffer(text.encode(), np.uint8).astype(np.int64)[:, None]
+        label = language_id._LETTER[x]
+        direct = (network.probabilities(x)[0] * label[:, None]).sum(axis=(0, 2))
+        assert np.allclose(one[:-1], direct, atol=1e-3 * max(1, label.sum())) and windowed[-1] == one[-1] == label.sum()
+        assert np.abs(windowed[:-1] - direct).max() <= 0.02 * max(1, label.sum())
+
+
+def test_language_stage_uses_its_predictions(spark):
+    network = language_id.Network(["aa", "bb"])
+    network.train([b"aba abba aab " * 20, b"xyz zyx yyx " * 20], np.array([0, 1]), steps=200)
+    rows = [(1, "abba aba ab", None), (2, "zyx xyz", "cc"), (3, "1 2 3", None), (4, None, "aa"), (5, "aba xyz abba zyx aab xyx bab yzy", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang for r in language_id.identified(docs, network, least=0.8).collect()} == {1: "aa", 2: "cc"}
+    assert language_id.identified(docs, network, least=0.0).count() == 5  # the bound alone rejects
+    assert language_id.identified(docs.drop("lang"), network, least=0.8).count() == 2
+
+
+def test_the_sample_is_bounded_by_rows_and_characters(spark):
+    own = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = spark.createDataFrame([(own, f"{i} " + "abc " * 3000, "aa") for i in range(300)], "doc_id long, text string, lang string")
+    seen = []
+    train = language_id.Network.train
+    try:
+        language_id.Network.train = lambda self, texts, labels, **k: seen.append([len(t) for t in texts])
+        language_id.fit(docs, per_language=50, sample=20, chars=100)
+    finally:
+        language_id.Network.train = train
+    assert seen == [[100] * 20]
+
+
 BENCHMARK = [(1, " ".join(f"s{i}" for i in range(20, 50))), (2, "FOUR words, are here"), (3, None), (4, ""), (5, "one"), (2, "four words are here"), (10, " ".join(f"b{i % 37}x{i}" for i in range(13))), (None, "12 34"), (11, "ha ha ha")]
 SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -204,12 +245,12 @@ def brute_contamination(text, items):
             for q in range(len(words) - k + 1):
                 if words[q : q + k] == own[p : p + k]:
                     hit.update(range(q, q + k))
-                    ids.add(str(item))
-    return len(words), len(hit), sorted(ids)
+                    ids.add(None if item is None else str(item))
+    return len(words), len(hit), sorted(ids, key=lambda x: (x is not None, x))
 
 
 def test_decontaminate(spark):
-    items = [b for b in BENCHMARK if b[0] is not None]
+    items = BENCHMARK
     bench = spark.createDataFrame([(*b, "x") for b in items], "item_id long, text string, TEXT string")
     got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontaminate.decontaminate(documents(spark), bench).collect())
     want = Counter()
@@ -223,7 +264,7 @@ def test_decontaminate(spark):
 
 
 def test_decontaminate_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     bench = spark.createDataFrame([BENCHMARK[0]], "item_id long, text string")
     assert decontaminate.decontaminate(documents(spark), bench).filter("n_hit > 0").count() == 3
 
@@ -330,6 +371,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.select(kept[0]).collect() if r.doc_id is not None) == sorted(groups)
 
 
+def test_texts_of_one_doc_id_are_judged_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = spark.createDataFrame([(7, a, 1), (7, b, 2), (7, b, 3), (8, c, 4), (9, b, 5), (9, a + " more", 6)], "doc_id long, text string, n int")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard_join.jaccard_join(docs).collect())
+    assert got == [(7, 7, 1)] * 3 + [(8, 8, 0), (9, 7, 1), (9, 7, 1)]
+    for _ in range(2):
+        kept = sorted((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs.repartition(3)).collect())
+        assert kept == [(7, a), (7, b), (8, c)]
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     bounds = jaccard_join.least_matches(0.8, 1e-6)
     assert bounds[jaccard_join.STEP] > 0 and all(a <= b for a, b in zip(bounds[16::16], bounds[32::16], strict=False))
