@@ -17,6 +17,8 @@ from gridloom.session import checkpoint_dir
 SPACE = "[\\x20\\x09-\\x0D]+"
 #: Bytes of an Arrow batch that goes to a Python worker.
 BATCH_BYTES = 4 << 20
+#: join_values() broadcasts up to so many values, and those of keys that have more than one row in so many.
+FEW_VALUES, HOT_KEYS = 50_000, 2048
 #: How many powers of a hash base a worker keeps.
 KEPT_POWERS = 1 << 19
 
@@ -76,6 +78,30 @@ def discard(df: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def join_values(rows: DataFrame, values: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Joins at most one row of values for each key to rows, of which any key may have any share.
+
+    Values are broadcast if their rows and keys, counted, are few. If they are not, those of hot keys are (there are
+    fewer than HOT_KEYS keys that have more than that share of the rows), and only the other rows are shuffled by key.
+    how: inner or left. Keys must not be null.
+    """
+    n, size = values.agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct(*on))))).first()
+    if n <= FEW_VALUES and (size or 0) <= FEW_VALUES * 64:
+        return rows.join(F.broadcast(values), on, how)
+    return join_hot(rows, values, on, how)
+
+
+def join_hot(rows: DataFrame, values: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """join_values() for values that are many."""
+    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_times"))
+    counts = counts.filter(F.col("_times") > 64)
+    total = rows.count()
+    hot = stored(counts.filter(F.col("_times") * HOT_KEYS > total).select(*on), "hot-keys")
+    own = F.broadcast(stored(values.join(F.broadcast(hot), on, "left_semi"), "hot-values"))
+    keys = F.broadcast(hot)
+    return rows.join(keys, on, "left_semi").join(own, on, how).unionByName(rows.join(keys, on, "left_anti").join(values, on, how))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most BATCH_BYTES, a row at least, for what follows; a smaller bound of the session stays.
 

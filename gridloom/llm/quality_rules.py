@@ -10,13 +10,14 @@ Statistics are fixed-point integers: sums of them and of their products are exac
 and medians over them, as over the distances' integer steps, are exact with bounded state. So a step is two grouped
 aggregates that combine before the shuffle, also for a source that holds a third of all rows. A floor is added to each
 variance (a regularised estimate), as most sources have no symbols at all and a singular covariance would reject every
-text that has one. Languages and sources with under 50 rows are pooled: sources within their language, then all.
+text that has one. A source with fewer than LEAST_GROUP (50) rows is judged by the estimate over its whole language, and
+a language with fewer by that over all rows; the columns group_lang and group_source say which group judged.
 
 Repeated words are found by 64-bit hashes of three words within one text.
 
 Defined results: a null text has no words; a null language or source is a value of its own; texts that fail the base
-rules never shape an estimate; if fewer than 50 rows are left even for the pool of all, its texts are kept; repeated rows each
-count; an empty table gives an empty result; extra columns are ignored.
+rules never shape an estimate; if the whole table has fewer than 50 other rows, all of them are kept;
+repeated rows each count; a text has fewer than 2**28 words (their places must fit); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import SPACE, pick, stored, table
+from gridloom.llm.common import SPACE, discard, join_values, pick, stored, table
 
 SCALE = 256
 #: The least standard deviation of each statistic.
 FLOORS = (0.08, 0.2, 0.2, 0.25)
-SHARE, LEAST_GROUP, STEPS = 0.75, 50, 12
+SHARE, LEAST_GROUP = 0.75, 50
 #: Chance that a text like its source's others is rejected, if statistics were normal.
 CHANCE = 1e-5
 P = len(FLOORS)
@@ -39,6 +40,7 @@ P = len(FLOORS)
 PLACE = (1 << 28) - 1
 _X = [f"x{i}" for i in range(P)]
 _GROUP = ["group_lang", "group_source"]
+_ESTIMATE = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in range(i + 1)]
 
 
 def _chi_square_4(chance: float) -> float:
@@ -98,24 +100,31 @@ def _statistics() -> list[Column]:
     return [F.round(SCALE * v).cast("long").alias(x) for v, x in zip(values, _X, strict=True)]
 
 
-def _pools(rows: DataFrame) -> DataFrame:
-    """lang_key, source_key to the group whose estimate holds; a row for each pair, of any number of rows."""
+def _pools(rows: DataFrame, least: int) -> DataFrame:
+    """A row for each language and source: the group whose estimate judges it, and all groups whose estimates it shapes.
+
+    A source with fewer than `least` rows is judged by the estimate over its whole language, a language with fewer by that
+    over all rows; these estimates are made of all their rows, those of large sources included.
+    """
     sizes = rows.groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n"))
-    own = F.col("n") >= LEAST_GROUP
-    sizes = sizes.withColumn("rest", F.sum(F.when(own, 0).otherwise(F.col("n"))).over(Window.partitionBy("lang_key")))
-    of_lang = F.col("rest") >= LEAST_GROUP
-    return sizes.select(
-        *("lang_key", "source_key"),
-        F.when(own | of_lang, F.col("lang_key")).otherwise(F.lit("*")).alias("group_lang"),
-        F.when(own, F.col("source_key")).otherwise(F.lit("*")).alias("group_source"),
-    )
+    langs = sizes.groupBy("lang_key").agg(F.sum("n").alias("of_lang"), F.min("n").alias("smallest"))
+    of_all, smallest_lang = langs.agg(F.sum("of_lang"), F.min("of_lang")).first()
+    all_needed = F.lit((of_all or 0) >= least and smallest_lang < least)
+    sizes = sizes.join(langs, "lang_key")
+    own = F.struct(F.col("lang_key").alias("group_lang"), F.col("source_key").alias("group_source"))
+    lang = F.struct(F.col("lang_key").alias("group_lang"), F.lit("*").alias("group_source"))
+    every = F.struct(F.lit("*").alias("group_lang"), F.lit("*").alias("group_source"))
+    n, of_lang = F.col("n") >= least, F.col("of_lang") >= least
+    shapes = F.array(F.when(n, own), F.when(of_lang & (F.col("smallest") < least), lang), F.when(all_needed, every))
+    judge = F.when(n, own).when(of_lang, lang).when(all_needed, every)
+    return sizes.select("lang_key", "source_key", judge.alias("judge"), F.array_compact(shapes).alias("shapes"))
 
 
 def _factor(moments: DataFrame, share: float) -> DataFrame:
     """n, s_i, s_ij (sums of the subset) to means, the Cholesky factor of the floored covariance, and its log determinant."""
     f = _consistency(share) if share < 1 else 1.0
     n = F.col("n").cast("double")
-    rows = moments.select(*_GROUP, "n", *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *(((F.col(f"s{i}{j}") - F.col(f"s{i}").cast("double") * F.col(f"s{j}") / n) / n * f).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
+    rows = moments.select(*_GROUP, "start", "n", *((F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)), *(((F.col(f"s{i}{j}") - F.col(f"s{i}").cast("double") * F.col(f"s{j}") / n) / n * f).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
     return _cholesky(rows)
 
 
@@ -127,62 +136,75 @@ def _cholesky(rows: DataFrame) -> DataFrame:
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             rows = rows.withColumn(f"l{i}{j}", F.sqrt(value) if i == j else value / F.col(f"l{j}{j}"))
     det = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, P)), F.log("l00"))
-    return rows.select(*_GROUP, "n", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)), det.alias("log_det"))
+    return rows.select(*_GROUP, "start", "n", *_ESTIMATE, det.alias("log_det"))
 
 
-def _distance(rows: DataFrame) -> DataFrame:
-    """Adds distance2, the squared Mahalanobis distance, from the statistics and the estimate beside them."""
+def _distance(estimate: str) -> Column:
+    """The squared Mahalanobis distance of x0.. from an estimate, a struct."""
+    y: list[Column] = []
     for i in range(P):
-        value = F.col(f"x{i}") - F.col(f"m{i}")
+        value = F.col(f"x{i}") - F.col(f"{estimate}.m{i}")
         for k in range(i):
-            value = value - F.col(f"l{i}{k}") * F.col(f"y{k}")
-        rows = rows.withColumn(f"y{i}", value / F.col(f"l{i}{i}"))
-    return rows.withColumn("distance2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, P)), F.col("y0") * F.col("y0")))
+            value = value - F.col(f"{estimate}.l{i}{k}") * y[k]
+        y.append(value / F.col(f"{estimate}.l{i}{i}"))
+    return sum((v * v for v in y[1:]), y[0] * y[0])
 
 
 def _sums() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(_X)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1))]
 
 
-def _concentrate(rows: DataFrame, start: DataFrame) -> DataFrame:
-    """C-steps from one start; rows has the groups and statistics."""
-    now, seen = stored(start, "estimate"), None
-    for _ in range(STEPS):
-        near = _distance(rows.join(now.drop("n"), _GROUP)).select(*_GROUP, *_X, F.floor(32 * F.log1p("distance2")).cast("int").alias("step"))
-        limit = near.groupBy(*_GROUP).agg(F.percentile("step", F.lit(SHARE)).alias("limit"))
-        now = stored(_factor(near.join(limit, _GROUP).filter("step <= limit").groupBy(*_GROUP).agg(*_sums()), SHARE), "estimate")
-        mark = now.agg(F.sum("n"), F.sum(F.round(F.col("log_det"), 9)), F.sum(F.shiftright(F.xxhash64(*(f"m{i}" for i in range(P))), 20))).first()
-        if mark == seen:
-            break
-        seen = mark
-    return now
+def _concentrate(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """C-steps from all starts at once until nothing changes; rows has the groups and statistics.
+
+    Distances are integer steps, so one grouped count of them, with the sums of what lies on each step, holds all that
+    the next estimate needs: the rows are read once a step, and combined before the shuffle.
+    """
+    seen = set()
+    while True:
+        mark = tuple(now.agg(F.sum("n"), F.sum(F.round(F.col("log_det"), 9)), F.sum(F.shiftright(F.xxhash64(*_ESTIMATE), 20))).first())
+        if mark in seen:  # unchanged, or back where it was
+            return now
+        seen.add(mark)
+        starts = [now.filter(F.col("start") == k).select(*_GROUP, F.struct(*_ESTIMATE).alias(f"e{k}")) for k in (0, 1)]
+        beside = join_values(rows, stored(starts[0].join(starts[1], _GROUP), "starts"), _GROUP)
+        near = beside.select(*_GROUP, *_X, F.inline(F.array(*(F.struct(F.lit(k).alias("start"), F.floor(32 * F.log1p(_distance(f"e{k}"))).cast("int").alias("step")) for k in (0, 1)))))
+        steps = near.groupBy(*_GROUP, "start", "step").agg(*_sums())
+        order = Window.partitionBy(*_GROUP, "start").orderBy("step")
+        before = F.sum("n").over(order) - F.col("n")
+        inside = steps.withColumn("before", before).withColumn("all", F.sum("n").over(Window.partitionBy(*_GROUP, "start"))).filter(F.col("before") <= F.floor(SHARE * (F.col("all") - 1)))
+        sums = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i in range(P) for j in range(i + 1))]
+        last, now = now, stored(_factor(inside.groupBy(*_GROUP, "start").agg(*(F.sum(c).alias(c) for c in sums)), SHARE), "estimate")
+        discard(last)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
     """rows (group_lang, group_source, x0..): each group's minimum covariance determinant estimate."""
-    middle = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"), *(F.percentile(x, F.lit(0.5)).alias(f"m{i}") for i, x in enumerate(_X)))
-    spread = rows.join(middle, _GROUP).groupBy(*_GROUP).agg(*(F.first(c).alias(c) for c in ["n", *(f"m{i}" for i in range(P))]), *(F.percentile(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i, x in enumerate(_X)))
+    middle = stored(rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"), *(F.percentile(x, F.lit(0.5)).alias(f"m{i}") for i, x in enumerate(_X))), "medians")
+    spread = join_values(rows, middle, _GROUP).groupBy(*_GROUP).agg(*(F.first(c).alias(c) for c in ["n", *(f"m{i}" for i in range(P))]), *(F.percentile(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i, x in enumerate(_X)))
     squares = [(F.pow(1.4826 * F.col(f"d{i}"), F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)]
-    medians = _cholesky(spread.select(*_GROUP, "n", *(f"m{i}" for i in range(P)), *squares))
-    means = _factor(rows.groupBy(*_GROUP).agg(*_sums()), 1.0)
-    ends = _concentrate(rows, medians).unionByName(_concentrate(rows, means))
-    best = Window.partitionBy(*_GROUP).orderBy("log_det", *(f"m{i}" for i in range(P)))
-    return ends.withColumn("nth", F.row_number().over(best)).filter("nth = 1").drop("nth", "log_det", "n")
+    medians = _cholesky(spread.select(*_GROUP, F.lit(0).alias("start"), "n", *(f"m{i}" for i in range(P)), *squares))
+    means = _factor(rows.groupBy(*_GROUP, F.lit(1).alias("start")).agg(*_sums()), 1.0)
+    ends = _concentrate(rows, stored(medians.unionByName(means), "estimate"))
+    return ends.groupBy(*_GROUP).agg(F.min(F.struct("log_det", *_ESTIMATE)).alias("best")).select(*_GROUP, "best.*").drop("log_det")
 
 
-def quality_rules(documents: DataFrame, chance: float = CHANCE) -> DataFrame:
-    """documents (doc_id, text, lang, source): doc_id, the counts, base_failed, distance2, kept."""
+def quality_rules(documents: DataFrame, chance: float = CHANCE, least: int = LEAST_GROUP) -> DataFrame:
+    """documents (doc_id, text, lang, source): doc_id, the counts, base_failed, the judging group, distance2, kept."""
     keys = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")).alias(f"{c}_key") for c in ("lang", "source")]
     counted = stored(counts(documents).select("*", base_failed().alias("base_failed"), *keys), "counts")
     good = counted.filter("NOT base_failed")
-    pools = stored(_pools(good), "pools")
-    rows = stored(good.join(pools, ["lang_key", "source_key"]).select(*_GROUP, *_statistics()), "statistics")
-    full = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_GROUP).select(*_GROUP)
-    known = stored(estimates(rows.join(full, _GROUP)), "estimates")
-    judged = counted.join(pools.join(known, _GROUP), ["lang_key", "source_key"], "left")
-    judged = _distance(judged.select("*", *(F.when(~F.col("base_failed"), s).alias(x) for s, x in zip(_statistics(), _X, strict=True))))
+    pools = stored(_pools(good, least), "pools")
+    shaped = join_values(good, pools, ["lang_key", "source_key"]).select(F.explode("shapes").alias("group"), *_statistics())
+    rows = stored(shaped.select("group.*", *_X), "statistics")
+    known = estimates(rows).select(F.struct(*_GROUP).alias("judge"), F.struct(*_ESTIMATE).alias("estimate"))
+    known = stored(pools.select("lang_key", "source_key", "judge").join(known, "judge", "left"), "estimates")
+    judged = join_values(counted, known, ["lang_key", "source_key"], "left")
+    judged = judged.select("*", *(F.when(~F.col("base_failed"), s).alias(x) for s, x in zip(_statistics(), _X, strict=True)))
+    judged = judged.withColumn("distance2", _distance("estimate"))
     fits = F.coalesce(F.col("distance2") <= _chi_square_4(chance), F.lit(True))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance2", (~F.col("base_failed") & fits).alias("kept"))
+    group = [F.when(~F.col("base_failed"), F.col(f"judge.{c}")).alias(c) for c in _GROUP]
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *group, "distance2", (~F.col("base_failed") & fits).alias("kept"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
