@@ -1,9 +1,9 @@
 """Token counts through a digest cache.
 
-The cache is a Parquet table (content digest, tokenizer digest, n_tokens) in a shared folder. Documents are joined to it
+The cache is a Parquet table (content digest, n_tokens, partitioned by tokenizer digest) in a shared folder. Documents are joined to it
 by the digest of their normalised content (null becomes the empty text, nothing else changes, as any other change could
-alter the count) and of the tokenizer's file. Only distinct contents without an entry are encoded, each once, and
-appended; then the counts are joined back. A run that is cut short leaves whole files or none, and two runs that add the
+alter the count) and of the tokenizer's file. Digests are compared first; only
+distinct contents without an entry are encoded, each once, and appended; then the counts are joined back. A run that is cut short leaves whole files or none, and two runs that add the
 same entry do no harm, as entries are read distinct.
 
 Defined results: null and empty texts have the empty text's count; repeated rows each get a row; an empty table gives an
@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, pick, slices, table, work_path
+from gridloom.llm.common import FEW_VALUES, bounded_batches, discard, join_values, pick, slices, stored, table, work_path
 
-CACHE = "content binary, tokenizer binary, n_tokens long"
+ENTRY = "content binary, n_tokens long"
 TOKENIZER = "piece_bpe_32k.model"
 _loaded: dict[str, object] = {}
 
@@ -48,43 +48,61 @@ def tokenizer_digest(path: str) -> bytes:
         return hashlib.sha256(file.read()).digest()
 
 
+def _folder(cache: str, version: bytes) -> str:
+    return f"{cache.rstrip('/')}/tokenizer={version.hex()}"
+
+
 def _read(spark: SparkSession, cache: str, version: bytes) -> DataFrame:
     """This tokenizer's entries, each once; none if the folder is new."""
-    entries = spark.read.schema(CACHE).parquet(cache)
-    return entries.filter(F.col("tokenizer") == F.lit(bytearray(version))).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    folder = _folder(cache, version)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        spark.createDataFrame([], ENTRY).write.mode("append").parquet(folder)
+    return spark.read.schema(ENTRY).parquet(folder).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def _start(spark: SparkSession, cache: str) -> None:
-    """An empty cache if there is none, so that it can be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(cache)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
+def _digested(documents: DataFrame) -> DataFrame:
+    docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.withColumn("content", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
 
 
-def token_counts(documents: DataFrame, cache: str, tokenizer: str) -> DataFrame:
-    """documents (doc_id, text): doc_id, n_bytes, n_tokens. cache: the table's folder. tokenizer: its file."""
+def fill(documents: DataFrame, cache: str, tokenizer: str) -> DataFrame:
+    """Encodes the contents that the cache lacks and appends them; returns doc_id, n_bytes, content of each document.
+
+    Only digests are joined to the cache. Texts are read again for the misses alone, and if there is none, not at all.
+    """
     spark = documents.sparkSession
     bounded_batches(spark)
     version = tokenizer_digest(tokenizer)
-    docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    digested = docs.withColumn("content", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    _start(spark, cache)
-    distinct = digested.groupBy("content").agg(F.first("text").alias("text"))
-    misses = distinct.join(_read(spark, cache, version), "content", "left_anti")
+    digested = _digested(documents)
+    keys = stored(digested.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content"), "digests")
+    misses = stored(keys.select("content").distinct().join(_read(spark, cache, version), "content", "left_anti"), "misses")
+    count = misses.count()
+    if not count:
+        return keys
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(tokenizer)
+        counter = _counter(tokenizer)
         for batch in batches:
             for part in slices(batch):
-                n = count(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([version] * len(n), pa.binary()), pa.array(n, pa.int64())], names=["content", "tokenizer", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counter(part.column(1).to_pylist()), pa.int64())], names=["content", "n_tokens"])
+
+    wanted = F.broadcast(misses) if count <= FEW_VALUES else misses
+    texts = digested.select("content", "text").join(wanted, "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
+    texts.mapInArrow(encode, ENTRY).write.mode("append").parquet(_folder(cache, version))
+    discard(misses)
+    return keys
 
-    misses.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
-    keys = digested.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
-    return keys.join(_read(spark, cache, version), "content").select("doc_id", "n_bytes", "n_tokens")
+
+def token_counts(documents: DataFrame, cache: str, tokenizer: str) -> DataFrame:
+    """documents (doc_id, text): doc_id, n_bytes, n_tokens. cache: the table's folder. tokenizer: its file."""
+    keys = fill(documents, cache, tokenizer)
+    counts = _read(documents.sparkSession, cache, tokenizer_digest(tokenizer))
+    return join_values(keys, counts, ["content"]).select("doc_id", "n_bytes", "n_tokens")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starts from an empty cache, so every distinct content of the table is encoded."""
-    counts = token_counts(table(spark, sf_dir, "documents"), work_path(spark, "token-cache"), public_tokenizers.path(TOKENIZER))
-    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+    """Twice over one cache that starts empty: the first time all are misses, the second time all are hits."""
+    documents, cache, tokenizer = table(spark, sf_dir, "documents"), work_path(spark, "token-cache"), public_tokenizers.path(TOKENIZER)
+    discard(fill(documents, cache, tokenizer))
+    return token_counts(documents, cache, tokenizer).withColumn("over_limit", F.col("n_tokens") > 4096)
