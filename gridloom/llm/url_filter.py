@@ -1,8 +1,8 @@
 """URL filter on a sorted digest array.
 
 Rules (host, path, verdict) become one file: 64-bit xxhash keys in ascending order, then the rules' full strings.
-Each worker memory-maps its copy of the file, hashes the candidates of every url (each parent domain with each prefix
-of the path that is as long as some rule's), finds them all by one vectorised binary search, and compares the stored
+Each worker memory-maps its copy of the file, hashes the candidates of every url (each parent domain that is no longer
+than the longest rule's, with each prefix of the path that is as long as some rule's), finds them all by one vectorised binary search, and compares the stored
 string before it believes a hit, so that equal digests of different strings do no harm.
 
 Defined results: a null url, or one without "://", has an empty host and path and fits no rule; among rules that fit,
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import bounded_batches, pick, slices, table, work_path
 
-_MAGIC = 8  # header: four unsigned 64-bit numbers
+_HEADER = 5  # unsigned 64-bit numbers: rules, path lengths, bytes of strings and of verdicts, longest host in characters
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -45,9 +45,10 @@ def digest_array(rules: Iterable[tuple[str, str, str]]) -> bytes:
         verdicts[host.translate(_LOWER) + at] = verdict
     names = sorted({*verdicts.values()})
     keyed = sorted((xxhash.xxh64_intdigest(k.encode()), k.encode(), names.index(v)) for k, v in verdicts.items())
-    lengths = sorted({len(k) - (k.index("/") if "/" in k else len(k)) for k in verdicts})
+    hosts = [k.index("/") if "/" in k else len(k) for k in verdicts]
+    lengths = sorted({len(k) - n for k, n in zip(verdicts, hosts, strict=True)})
     blob, label = b"".join(k for _, k, _ in keyed), "\n".join(names).encode()
-    numbers = [len(keyed), len(lengths), len(blob), len(label)]
+    numbers = [len(keyed), len(lengths), len(blob), len(label), max(hosts, default=0)]
     numbers += [h for h, _, _ in keyed]
     numbers += np.cumsum([0, *(len(k) for _, k, _ in keyed)]).tolist()
     numbers += [v for _, _, v in keyed]
@@ -70,8 +71,8 @@ class DigestArray:
 
     def __init__(self, path: str):
         whole = np.memmap(path, np.uint8, "r")
-        n, m, size, label = (int(x) for x in whole[: 4 * _MAGIC].view("<u8"))
-        at = 4 * _MAGIC
+        n, m, size, label, self.longest = (int(x) for x in whole[: _HEADER * 8].view("<u8"))
+        at = _HEADER * 8
 
         def numbers(count: int) -> np.ndarray:
             nonlocal at
@@ -108,12 +109,13 @@ class DigestArray:
         mine: list[list[int]] = []
         for host, path in parts:
             own: list[int] = []
-            suffix = host
-            while suffix:
+            # no parent domain is longer than the longest host of a rule; a longer host is cut before it is taken apart
+            at = 0 if len(host) <= self.longest else host.find(".", len(host) - self.longest - 1) + 1
+            while at < len(host) and (at or len(host) <= self.longest):
                 for n in self.lengths:
                     if n <= len(path):
-                        own.append(strings.setdefault(suffix + path[:n], len(strings)))
-                suffix = suffix.partition(".")[2]
+                        own.append(strings.setdefault(host[at:] + path[:n], len(strings)))
+                at = host.find(".", at) + 1 or len(host)
             mine.append(own)
         place = self.probe(list(strings))
         rules: list[str | None] = []
@@ -135,11 +137,12 @@ def url_filter(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = DigestArray(SparkFiles.get(name))
         for batch in batches:
-            host, path, rule, verdict = digests.judge(batch.column(1).to_pylist())
-            columns = [batch.column(0), pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(rule, pa.string()), pa.array([v or default for v in verdict], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "rule", "verdict"])
+            for part in slices(batch, "url"):
+                host, path, rule, verdict = digests.judge(part.column(1).to_pylist())
+                columns = [part.column(0), pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(rule, pa.string()), pa.array([v or default for v in verdict], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "rule", "verdict"])
 
-    slim = pick(pages, "page_id", "url").withColumn("page_id", F.col("page_id").cast("long"))
+    slim = pick(pages, "page_id", "url").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     return slim.mapInArrow(judge, "page_id long, host string, path string, rule string, verdict string")
 
 
