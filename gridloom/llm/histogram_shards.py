@@ -3,10 +3,14 @@
 Rows are ordered by (first 60 bits of the text's md5, doc_id). Splitters between shards are found without sorting:
 each round counts, across all partitions, the exact bytes below candidate boundaries (the next 12 or 16 bits of the
 key), keeps the one interval in which each wanted boundary lies, and probes inside it, until the interval holds no more
-than the tolerance or a single key. Then all rows, texts included, are exchanged once and sorted within bounded parts.
+than the tolerance or a single key: at most 2**16 counts a boundary between shards and round come to the driver, whatever
+the number of rows or tasks. Then all rows, texts included, are exchanged once, into runs: hash ranges of a shard, whose
+number follows the bytes and which the plan does not list. A run is sorted by key, and a slot is a row's place in its run
+after all earlier runs of its shard, as counted.
 
-Copies of one text have one hash, so a group of copies that holds much of the table lies in one interval; the doc_id
-part of the key then divides it, and no part holds more than its share.
+Copies of one text have one hash, so a group of copies that holds much of the table lies in one hash range; such hashes are
+found by count, and ranges of the doc_id divide them into more runs. The doc_id is also the part of the key that lets a
+boundary between shards pass through such a group.
 
 Law `bytes`: with tolerance 0 a row is in shard floor(n * bytes before it / all bytes). Defined results: a null text has
 size 1 (as the empty text) and the empty text's hash; a null doc_id sorts first; rows that agree in doc_id and text get
@@ -15,18 +19,22 @@ distinct slots; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import pick, stored, table
+from gridloom.llm.common import FEW_VALUES, pick, stored, table
 
 HASH_BITS = 60
 #: Widths of the key's digits: five of the hash, four of the doc_id.
 DIGITS = [12] * 5 + [16] * 4
 _MIN, _MAX = -(1 << 63), (1 << 63) - 1
+#: Bytes of a sorted run at which more tasks are asked for than there are shuffle partitions.
+PART_BYTES = 64 << 20
+_RUN = ["shard", "bucket", "segment", "sub"]
+#: Ranges, by quantiles of its doc_ids, of a text that has too many copies for one run; each is divided evenly if need be.
+MARKS = 64
 
 
 @dataclass
@@ -93,11 +101,11 @@ def _part(bounds: list[tuple[int, int]], low: int = 0) -> Column:
     return F.when(above, _part(bounds[at + 1 :], low + at + 1)).otherwise(_part(bounds[:at], low))
 
 
-def histogram_shards(documents: DataFrame, shards: int = 8, parts: int | None = None, tolerance: int = 0) -> DataFrame:
+def histogram_shards(documents: DataFrame, shards: int = 8, parts: int | None = None, tolerance: int = 0, part_bytes: int = PART_BYTES) -> DataFrame:
     """documents (doc_id, text): doc_id, text, size, shard, slot.
 
-    parts: how many sorted runs the exchange makes; by default about as many as there are shuffle partitions.
-    tolerance: bytes by which a boundary between shards may be off.
+    parts: about how many sorted runs the exchange makes; by default as many as there are shuffle partitions, and so many
+    that a run has about part_bytes. tolerance: bytes by which a boundary between shards may be off.
     """
     spark = documents.sparkSession
     docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -106,27 +114,42 @@ def histogram_shards(documents: DataFrame, shards: int = 8, parts: int | None =
     keyed = docs.select("doc_id", "text", size.alias("size"), hash_.alias("hash"), F.coalesce("doc_id", F.lit(_MIN)).alias("id"))
     keys = stored(keyed.select("hash", "id", "size"), "keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    wanted = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    each = max(1, -(-wanted // shards))
-    exact = [Splitter(-(-k * total // shards), tolerance) for k in range(1, shards)]
-    rough = [Splitter(k * total // (shards * each), max(tolerance, total // (4 * shards * each))) for k in range(1, shards * each) if k % each]
-    if total:
-        find_splitters(keys, exact + rough)
-    else:
-        exact = rough = []
-    cuts = [s.last_key for s in sorted(exact, key=lambda s: s.target)]
-    bounds = sorted({s.last_key for s in exact + rough})
-    first = [bisect_left(bounds, c) + 1 for c in cuts]  # the first part of each shard after the first
-    counts = dict(map(tuple, keys.groupBy(_part(bounds).alias("part")).count().collect()))
-    shard_of = [sum(part >= f for f in first) for part in range(len(bounds) + 1)]
-    offsets, seen = [], {}
-    for part, shard in enumerate(shard_of):
-        offsets.append(seen.get(shard, 0))
-        seen[shard] = offsets[-1] + counts.get(part, 0)
-    look_up = lambda values, kind: F.array(*(F.lit(v).cast(kind) for v in values))[F.col("part")]
-    run = Window.partitionBy("part").orderBy("hash", "id")
-    sorted_ = keyed.withColumn("part", _part(bounds)).withColumn("nth", F.row_number().over(run).cast("long"))
-    return sorted_.select("doc_id", "text", "size", look_up(shard_of, "int").alias("shard"), (F.col("nth") - 1 + look_up(offsets, "long")).alias("slot"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // part_bytes)
+    bits = max(1, 4 * (parts or tasks) - 1).bit_length()  # several buckets a task: hashes fill them evenly
+    splitters = [Splitter(-(-k * total // shards), tolerance) for k in range(1, shards)] if total else []
+    find_splitters(keys, splitters)
+    cuts = [s.last_key for s in sorted(splitters, key=lambda s: s.target)]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("shard", _part(cuts)).withColumn("bucket", F.shiftright("hash", HASH_BITS - bits))
+
+    # copies of one text have one hash: those over so many times the even share are divided by ranges of doc_ids
+    even = max(1, total >> bits) * max(2, (1 << bits) // FEW_VALUES)
+    loads = stored(keys.groupBy("hash").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > even), "heavy-texts")  # FEW_VALUES at most
+    marks = F.percentile_approx("id", F.array(*(F.lit(i / MARKS) for i in range(MARKS + 1))), F.lit(10_000))
+    heavy = keys.join(F.broadcast(loads), "hash").groupBy("hash").agg(F.ceil(F.first("bytes") / (even * MARKS)).alias("times"), marks.alias("marks"))
+    heavy = stored(placed(heavy.withColumn("id", F.lit(0).cast("long"))).groupBy("bucket").agg(F.collect_list(F.struct("hash", "times", "marks")).alias("heavy")), "heavy-buckets")
+
+    def divided(rows: DataFrame) -> DataFrame:
+        beside = placed(rows).join(F.broadcast(heavy), "bucket", "left")
+        own = F.filter("heavy", lambda x: x["hash"] == F.col("hash"))
+        beside = beside.withColumn("segment", F.coalesce(2 * F.size(F.filter("heavy", lambda x: x["hash"] < F.col("hash"))) + F.size(own), F.lit(0)))
+        beside = beside.withColumn("own", F.get(own, 0)).withColumn("mark", F.size(F.filter("own.marks", lambda m: m < F.col("id"))))
+        low, high = (F.get("own.marks", F.col("mark") - k).cast("double") for k in (1, 0))
+        inner = F.least(F.floor((F.col("id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * F.col("own.times")), F.col("own.times"))
+        sub = F.when(F.col("own").isNotNull(), F.col("mark") * (F.col("own.times") + 1) + F.coalesce(inner, F.lit(0)))
+        return beside.withColumn("sub", F.coalesce(sub, F.lit(0)).cast("long")).drop("heavy", "own", "mark")
+
+    runs = divided(keys).groupBy(*_RUN).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("bucket", "segment", "sub")
+    offsets = stored(runs.select(*_RUN, (F.sum("n").over(before) - F.col("n")).alias("offset")), "offsets")
+    if offsets.count() <= FEW_VALUES:
+        offsets = F.broadcast(offsets)
+    dealt = divided(keyed)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartition(tasks, *_RUN)
+    sorted_ = dealt.withColumn("nth", F.row_number().over(Window.partitionBy(*_RUN).orderBy("hash", "id")).cast("long"))
+    return sorted_.join(offsets, _RUN).select("doc_id", "text", "size", F.col("shard").cast("int").alias("shard"), (F.col("nth") - 1 + F.col("offset")).alias("slot"))
 
 
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,14 +164,3 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
-
-SQL = """
-WITH sized AS (
-  SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, substr(md5(coalesce(text, '')), 1, 15) AS hash FROM documents
-), placed AS (
-  SELECT *, coalesce(sum(size) OVER (ORDER BY hash, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(size) OVER () AS total FROM sized
-), sharded AS (
-  SELECT *, least(7, (8 * below) // total)::INTEGER AS shard FROM placed
-)
-SELECT doc_id, size, shard, row_number() OVER (PARTITION BY shard ORDER BY hash, doc_id NULLS FIRST) - 1 AS slot FROM sharded
-"""
