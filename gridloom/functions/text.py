@@ -45,7 +45,7 @@ def link(asset: Column) -> Column:
 
 def served(href: Column) -> Column:
     """A link into the bucket as a link to the host; else NULL."""
-    return F.when(href.startswith(BUCKET), F.concat(F.lit(HOST), F.substring(href, len(BUCKET) + 1, 1 << 20)))
+    return F.when(href.startswith(BUCKET), F.concat(F.lit(HOST), href.substr(F.lit(len(BUCKET) + 1), F.length(href))))
 
 
 def first_link(assets: Column, keys: Sequence[str]) -> Column:

@@ -40,6 +40,11 @@ def manifest(scenes: DataFrame, items: DataFrame, root: str, resolution: int = 1
     return joined.withColumns({**links, **paths}).drop("assets")
 
 
+def to_download(ordered_scenes: DataFrame, first: int | None) -> DataFrame:
+    """The first scenes of an ordered manifest; none if the number is not above zero, all if there is none."""
+    return ordered_scenes if first is None else ordered_scenes.limit(max(0, first))
+
+
 def missing_links(rows: DataFrame) -> DataFrame:
     absent = F.col("href_b04").isNull() | F.col("href_b08").isNull() | F.col("href_scl").isNull()
     return rows.agg(F.count_if(absent).alias("missing"))
@@ -61,6 +66,11 @@ def exploded_tiles(series: DataFrame) -> DataFrame:
     return series.select("acq_ts", F.posexplode(split_ids(F.col("tile_ids"))).alias("tile_ord", "tile"))
 
 
+def tile_files(series: DataFrame, files: DataFrame) -> DataFrame:
+    """Each timestamp's tiles, in the union's order, with their files (acq_ts, tile, path); NULL where there is none."""
+    return exploded_tiles(series).join(files, ["acq_ts", "tile"], "left")
+
+
 def of_bands(files: DataFrame, bands: tuple | None) -> DataFrame:
     return files if bands is None else files.filter(F.col("band").isin(*bands))
 
@@ -96,8 +106,19 @@ def merged_log(*logs: DataFrame) -> DataFrame:
 
 
 def regions_named(regions: DataFrame, name: str, column: str = "NAME_LATN") -> DataFrame:
-    """The first region of that name, in any case; none is an error where it is used."""
-    return regions.filter(F.lower(column) == name.lower()).orderBy(column).limit(1)
+    """The first region of that name, in any case; none is an error."""
+    found = regions.filter(F.lower(column) == name.lower()).orderBy(column).limit(1)
+    if found.isEmpty():
+        raise ValueError(f"no region of that name: {name}")
+    return found
+
+
+def region_coded(regions: DataFrame, code: str, key: str = "NUTS_ID") -> DataFrame:
+    """The regions of one code; none is an error."""
+    found = regions.filter(F.col(key) == code)
+    if found.isEmpty():
+        raise ValueError(f"no region of that code: {code}")
+    return found
 
 
 def regions_like(regions: DataFrame, pattern: str, most: int, column: str = "NAME_LATN", key: str = "NUTS_ID") -> DataFrame:

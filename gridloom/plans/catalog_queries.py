@@ -42,6 +42,12 @@ def cloud_lt(spark, d):
     return found.orderBy("acq_ts", "cloud", "event_id").limit(100).select("event_id", "cloud")
 
 
+@query("max_items", "SELECT value AS cloud FROM events WHERE value < 20 AND ts >= DATE '2024-01-05' AND ts < DATE '2024-01-21' ORDER BY ts, value LIMIT 100")
+def max_items(spark, d):
+    events = table(spark, d, "events").select(F.col("ts").alias("acq_ts"), F.col("value").alias("cloud"))
+    return catalog.search(events, date(2024, 1, 5), date(2024, 1, 20), max_cloud=20, max_items=100).select("cloud")
+
+
 @query("json_props", "SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k FROM events")
 def json_props(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
@@ -171,6 +177,29 @@ def _files(spark, d) -> tuple[DataFrame, DataFrame]:
     return required, lines.filter("l_quantity > 10").select(F.to_date("l_shipdate").alias("acq_ts"), F.col("l_linenumber").alias("band"))
 
 
+@query("download_first", "SELECT o_orderkey, o_totalprice AS cloud FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 20")
+def download_first(spark, d):
+    scenes = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("cloud"))
+    return manifest.to_download(manifest.ordered(scenes, "cloud_then_time", time="o_orderkey", cloud="cloud"), 20)
+
+
+@query(
+    "tile_files",
+    """WITH seen AS (SELECT date_trunc('day', ts)::DATE AS acq, event_type AS tile, min(event_id) AS first FROM events GROUP BY ALL)
+SELECT acq::VARCHAR AS acq, (row_number() OVER (PARTITION BY acq ORDER BY tile) - 1)::INTEGER AS tile_ord, tile, CASE WHEN first % 3 <> 0 THEN '/' || tile || '_' || first || '.tif' END AS path FROM seen""",
+)
+def tile_files(spark, d):
+    seen = table(spark, d, "events").groupBy(F.to_date("ts").alias("acq_ts"), F.col("event_type").alias("tile")).agg(F.min("event_id").alias("first"))
+    series = seen.groupBy("acq_ts").agg(F.array_join(F.sort_array(F.collect_set("tile")), "|").alias("tile_ids"))
+    files = seen.filter("first % 3 <> 0").select("acq_ts", "tile", F.concat(F.lit("/"), F.col("tile"), F.lit("_"), F.col("first").cast("string"), F.lit(".tif")).alias("path"))
+    return manifest.tile_files(series, files).select(F.col("acq_ts").alias("acq"), "tile_ord", "tile", "path")
+
+
+@query("nuts_code", REG + ' SELECT nuts_id AS "NUTS_ID", name AS "NAME_LATN", level AS "LEVL_CODE", country AS "CNTR_CODE" FROM reg WHERE nuts_id = \'N07\'')
+def nuts_code(spark, d):
+    return manifest.region_coded(regions(spark, d), "N07")
+
+
 @query("missing_anti", REQ + " SELECT acq::VARCHAR AS acq, band FROM req WHERE (acq, band) NOT IN (SELECT acq, band FROM have)")
 def missing_anti(spark, d):
     return manifest.missing_files(*_files(spark, d), ["acq_ts", "band"], REQUIRED).withColumnRenamed("acq_ts", "acq")

@@ -27,7 +27,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where that is unset, a local one (tests).
+    """The shared folder of spark.checkpoint.dir; where that is unset, a local master gets a folder of its own.
+
+    On a cluster it must be set: a folder of one machine would hold parts that others cannot read.
 
     Also points the context's own checkpoint folder there, for DataFrame.checkpoint().
     """
@@ -37,6 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = context._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="gridloom-checkpoint-")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared)

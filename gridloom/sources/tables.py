@@ -17,9 +17,9 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One file with a header, also when there are no rows."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, parts: int | None = 1) -> None:
+    """One file with a header, also when there are no rows; or so many parts, or with None as many as there are tasks."""
+    (df if parts is None else df.coalesce(parts)).write.mode("overwrite").csv(path, header=True)
 
 
 def scene_folders(paths: DataFrame) -> DataFrame:
