@@ -112,3 +112,27 @@ def source_keys(cells: DataFrame, target: Grid, source: Grid) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, src)], names=["row", "col", "src_row", "src_col"])
 
     return cells.select(F.col("row").cast("int"), F.col("col").cast("int")).mapInArrow(keys, "row int, col int, src_row int, src_col int")
+
+
+def box_in(source: Grid, target: Grid) -> tuple[int, int, int, int]:
+    """First row, first column, rows and columns of the target's cells, also beyond its edges, that a source can reach."""
+    across, down = np.linspace(0, source.width * source.cell, 65), np.linspace(0, source.height * source.cell, 65)
+    x = source.x0 + np.concatenate([across, across, np.zeros(65), np.full(65, across[-1])])
+    y = source.y0 - np.concatenate([np.zeros(65), np.full(65, down[-1]), down, down])
+    if source.epsg != target.epsg:
+        x, y = to_utm(*from_utm(x, y, source.epsg), target.epsg)
+    spare = 0 if source.epsg == target.epsg else 2  # an edge bulges a little between its points
+    row, col = math.floor((target.y0 - y.max()) / target.cell) - spare, math.floor((x.min() - target.x0) / target.cell) - spare
+    return row, col, math.ceil((target.y0 - y.min()) / target.cell) + spare - row, math.ceil((x.max() - target.x0) / target.cell) + spare - col
+
+
+def onto(spark: SparkSession, source: Grid, target: Grid) -> DataFrame:
+    """row, col, src_row, src_col: the target's cells, also beyond its edges, whose centres a source of any zone holds."""
+    row, col, rows, cols = box_in(source, target)
+    cells = spark.range(rows).select((F.col("id") + row).cast("int").alias("row")).withColumn("col", F.explode(F.sequence(F.lit(col), F.lit(col + cols - 1))))
+    if source.epsg == target.epsg:
+        keys = nearest_keys(target, *(F.lit(float(v)) for v in (source.x0, source.y0, source.cell, source.cell)))
+        keyed = cells.select("row", "col", keys[0].alias("src_row"), keys[1].alias("src_col"))
+    else:
+        keyed = source_keys(cells, target, source)
+    return keyed.filter(F.col("src_row").between(0, source.height - 1) & F.col("src_col").between(0, source.width - 1))

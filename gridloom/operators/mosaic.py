@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.grid import Grid, onto
+
 METHODS = {
     "first": lambda value, order: F.min_by(value, order),
     "last": lambda value, order: F.max_by(value, order),
@@ -22,6 +26,19 @@ def mosaic(pixels: DataFrame, method: str = "first", keys: tuple[str, ...] = ("r
     return pixels.filter(F.col(value).isNotNull()).groupBy(*keys).agg(METHODS[method](F.col(value), F.col(order)).alias(value))
 
 
+def harmonised(pixels: DataFrame, grids: dict[int, Grid], method: str = "first") -> DataFrame:
+    """pixels (tile_ord, row, col, value) of tiles of any zones: their mosaic on the first tile's grid, continued.
+
+    Each tile is brought by nearest cells into the first tile's zone, over its own extent only; the first stays as it is.
+    """
+    spark, target = pixels.sparkSession, grids[min(grids)]
+    moved = []
+    for order, source in sorted(grids.items()):
+        own = pixels.filter(F.col("tile_ord") == order).select(F.col("row").alias("src_row"), F.col("col").alias("src_col"), "value")
+        moved.append(onto(spark, source, target).join(own, ["src_row", "src_col"]).select("row", "col", F.lit(order).alias("tile_ord"), "value"))
+    return mosaic(reduce(DataFrame.unionByName, moved), method)
+
+
 def consistent(layers: DataFrame) -> DataFrame:
     """layers of each mosaic: raises if their types differ, or the first has no projection; else one row each."""
     checked = layers.groupBy("mosaic_id").agg(F.countDistinct("dtype").alias("dtypes"), F.min_by("epsg", "tile_ord").alias("epsg"), F.count(F.lit(1)).alias("tiles"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.functions import grid, periods, spectral
+from gridloom.functions import geometry, grid, periods, spectral
 from gridloom.operators import anomaly, composite, downsample, features, mosaic, stats
 
 
@@ -189,3 +189,22 @@ def test_reprojection_between_zones_round_trips(spark):
     target, source = grid.Grid(500000.0, 4500000.0, 10.0, 4, 4, 32634), grid.Grid(500000.0 - 1000, 4500000.0 + 1000, 10.0, 400, 400, 32634)
     cells = spark.createDataFrame([(r, c) for r in range(4) for c in range(4)], "row int, col int")
     assert all((r.src_row, r.src_col) == (r.row + 100, r.col + 100) for r in grid.source_keys(cells, target, source).collect())
+
+
+def test_mosaic_of_two_zones_lies_on_the_first_tiles_grid(spark):
+    lon, lat = np.array([23.99]), np.array([40.5])  # either side of the border of zones 34 and 35
+    centre = {epsg: [float(v[0]) for v in geometry.to_utm(lon, lat, epsg)] for epsg in (32634, 32635)}
+    grids = {k: grid.Grid(round(centre[e][0], -1) + 200 * k, round(centre[e][1], -1), 10.0, 30, 20, e) for k, e in ((0, 32634), (1, 32635))}
+    values = {k: np.arange(600).reshape(20, 30) + 1000.0 * k for k in grids}
+    pixels = spark.createDataFrame([(k, r, c, float(v[r, c])) for k, v in values.items() for r in range(20) for c in range(30)], "tile_ord int, row int, col int, value double")
+    want, target = {}, grids[0]
+    for row in range(-60, 80):
+        col = np.arange(-60, 120)
+        x, y = geometry.to_utm(*geometry.from_utm(target.x0 + (col + 0.5) * 10, np.full(len(col), target.y0 - (row + 0.5) * 10), 32634), 32635)
+        r, c = np.floor((grids[1].y0 - y) / 10).astype(int), np.floor((x - grids[1].x0) / 10).astype(int)
+        want |= {(row, int(k)): float(values[1][a, b]) for k, a, b in zip(col, r, c, strict=True) if 0 <= a < 20 and 0 <= b < 30}
+    assert len(want) > 300
+    want |= {(r, c): float(values[0][r, c]) for r in range(20) for c in range(30)}
+    assert {(r["row"], r["col"]): r["value"] for r in mosaic.harmonised(pixels, grids).collect()} == want
+    one = mosaic.harmonised(pixels.filter("tile_ord = 0"), {0: target})
+    assert one.count() == 600
