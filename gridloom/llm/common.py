@@ -102,6 +102,17 @@ def join_hot(rows: DataFrame, values: DataFrame, on: list[str], how: str = "inne
     return rows.join(keys, on, "left_semi").join(own, on, how).unionByName(rows.join(keys, on, "left_anti").join(values, on, how))
 
 
+def join_counted(rows: DataFrame, values: DataFrame, on: list[str], total: int) -> DataFrame:
+    """Inner join of rows with one row of values for each key; n in values says how many of the `total` rows have the key.
+
+    Fewer than HOT_KEYS keys have more than total / HOT_KEYS rows. Their values are broadcast, and only the rows of the
+    other keys are shuffled. values is read three times: a stored() table.
+    """
+    hot = values.filter((F.col("n") > 64) & (F.col("n") * HOT_KEYS > total))
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(values, on))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most BATCH_BYTES, a row at least, for what follows; a smaller bound of the session stays.
 

@@ -5,7 +5,7 @@ import tracemalloc
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from gridloom.llm import common, histogram_shards, token_counts, url_filter
+from gridloom.llm import common, components, histogram_shards, substring_dedup, token_counts, url_filter
 
 
 def test_a_long_host_makes_few_candidates(tmp_path):
@@ -48,3 +48,29 @@ def test_hot_keys_join_as_others_do(spark):
         want = sorted(map(str, rows.join(values, "k", how).collect()))
         assert sorted(map(str, common.join_hot(rows, values, ["k"], how).collect())) == want
         assert sorted(map(str, common.join_values(rows, values, ["k"], how).collect())) == want
+
+
+def test_counted_keys_join_as_others_do(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
+    values = common.stored(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("v")).filter("k % 2 = 0"), "values")
+    want = sorted(map(str, rows.join(values, "k").collect()))
+    assert sorted(map(str, common.join_counted(rows, values, ["k"], rows.count()).collect())) == want
+
+
+def test_components_of_hubs_and_a_long_path(spark):
+    hub = [(5, 10_000 + i) for i in range(3000)] + [(1, 20_000 + i) for i in range(500)] + [(20_007, 10_007)]
+    path = [(100_000 + i, 100_001 + i) for i in range(200)]
+    edges = spark.createDataFrame([*hub, *path, (7, 7), (300_002, 300_001), (300_001, 300_002)], "a long, b long")
+    got = {r.node: r.root for r in components.components(edges).collect()}
+    want = dict.fromkeys([1, 5, *range(10_000, 13_000), *range(20_000, 20_500)], 1) | dict.fromkeys(range(100_000, 100_201), 100_000) | {300_001: 300_001, 300_002: 300_001}
+    assert got == want
+
+
+def test_a_passage_of_most_documents_goes_from_all_but_one(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, f"{passage} " + " ".join(f"own{i}x{k}" for k in range(55)) if i % 3 else f"own{i} " + passage[:passage.rindex("p57")]) for i in range(300)]
+    done = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in done.collect()}
+    # document 0 holds 57 of the 60 words, document 1 all of them
+    want = {i: (115, 57 if i == 1 else 60) if i % 3 else (58, 57 if i else 0) for i in range(300)}
+    assert got == want
