@@ -11,8 +11,8 @@ windows, the whole stretch by which a match can extend to both sides of that anc
    of the way: for these runs alone the single windows are compared, again by grouped minima.
 3. Matches that overlap or touch join to maximal stretches as the words they cover are marked and removed.
 
-No pair of documents is ever built: a passage in a million documents costs a million rows, and they are combined before
-the shuffle. Anchors, runs and windows are told apart by 64-bit hashes, and always by two of them at once.
+No pair of documents is ever built: a passage in a million documents costs a million rows, which are combined before
+the shuffle; back to them, what is known of such hot runs and windows is broadcast, so that no task holds all their rows. Anchors, runs and windows are told apart by 64-bit hashes, and always by two of them at once.
 
 Defined results: null and empty texts have no words; documents shorter than a window keep all words; of equal texts the
 one with the smallest doc_id keeps its words; rows that agree in doc_id are no sources for each other; a null doc_id
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from gridloom.llm.common import arrow_bytes, bounded_batches, boxed, gram_hashes, mix, slices, span_sums, stored, table, word_hashes, word_spans
+from gridloom.llm.common import arrow_bytes, bounded_batches, boxed, discard, gram_hashes, join_counted, mix, slices, span_sums, stored, table, word_hashes, word_spans
 
 _MAX = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -130,11 +130,13 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
                 yield pa.RecordBatch.from_arrays([_signed(runs.anchor[once]), _signed(runs.content[once]), _signed(runs.keys()[once]), part.column(0).take(at), part.column(1).take(at)], names=["anchor", "content", "run", "id", "key"])
 
     all_runs = stored(docs.select("id", "key", "text").mapInArrow(seeds, "anchor long, content long, run long, id long, key long"), "runs")
-    groups = all_runs.groupBy("anchor", "content").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    groups = all_runs.groupBy("anchor", "content").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))
     anchors = groups.groupBy("anchor").agg(F.min("least").alias("low"), F.max("least").alias("high"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND low < high").select("anchor", F.lit(True).alias("parts"))
-    known = groups.join(anchors, "anchor", "left").filter("least < most OR parts")
-    judged = all_runs.join(known, ["anchor", "content"]).select("id", "key", "run", (F.col("id") > F.col("least")).alias("gone"), "parts")
+    known = stored(groups.join(anchors, "anchor", "left").filter("least < most OR parts"), "known-runs")
+    judged = join_counted(all_runs, known, ["anchor", "content"], all_runs.count()).select("id", "key", "run", (F.col("id") > F.col("least")).alias("gone"), "parts")
     judged = stored(judged.filter("gone OR parts"), "judged-runs")
+    discard(known)
+    discard(all_runs)
 
     # single windows, where a run is matched in part
     partly = judged.filter("NOT gone").groupBy("id", "key").agg(F.collect_set("run").alias("wanted"))
@@ -153,8 +155,8 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
                 yield pa.RecordBatch.from_arrays([_signed(anchor[once]), _signed(window[once]), part.column(0).take(at), part.column(1).take(at)], names=["anchor", "window", "id", "key"])
 
     windows = stored(docs.select("id", "key", "text").join(partly, ["id", "key"]).mapInArrow(single, "anchor long, window long, id long, key long"), "windows")
-    sources = windows.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    gone_windows = windows.join(sources, ["anchor", "window"]).filter("id > least").select("id", "key", F.lit(None).cast("long").alias("run"), "window")
+    sources = stored(windows.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n")).filter("least < most"), "sources")
+    gone_windows = join_counted(windows, sources, ["anchor", "window"], windows.count()).filter("id > least").select("id", "key", F.lit(None).cast("long").alias("run"), "window")
     gone = judged.filter("gone").select("id", "key", "run", F.lit(None).cast("long").alias("window")).unionByName(gone_windows)
     gone = gone.groupBy("id", "key").agg(F.collect_set("run").alias("runs"), F.collect_set("window").alias("windows"))
 
