@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from datetime import date
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,6 +124,17 @@ def best_union(tiles: list[tuple[str, float, int]], total: int, threshold: float
     return None if best is None else (best[1], best[0][0], best[2] / total)
 
 
+def cell_bits(groups: list[np.ndarray]) -> list[int]:
+    """Each group of cells as the bits of one integer, by the cells' ranks among all groups' cells."""
+    known = np.unique(np.concatenate(groups)) if groups else np.zeros(0)
+    out = []
+    for cells in groups:
+        held = np.zeros(len(known), bool)
+        held[np.searchsorted(known, cells)] = True
+        out.append(int.from_bytes(np.packbits(held, bitorder="little").tobytes(), "little"))
+    return out
+
+
 def unions(tile_cells: DataFrame, total_cells: int, threshold: float, most: int, on_partial: str = "skip") -> DataFrame:
     """tile_cells (acq_ts, tile, cloud, cell): the best union of each timestamp, found once, not once per anchor.
 
@@ -132,7 +144,8 @@ def unions(tile_cells: DataFrame, total_cells: int, threshold: float, most: int,
 
     def choose(groups: Iterator[pd.DataFrame]) -> pd.DataFrame:
         pdf = groups.sort_values("tile")
-        found = best_union([(t, c, sum(1 << int(x) for x in cells)) for t, c, cells in zip(pdf.tile, pdf.cloud, pdf.cells, strict=True)], total_cells, threshold, most)
+        bits = cell_bits([np.asarray(cells) for cells in pdf.cells])
+        found = best_union(list(zip(pdf.tile, pdf.cloud, bits, strict=True)), total_cells, threshold, most)
         if found is None:
             if on_partial == "raise":
                 raise ValueError(f"only partial unions at {pdf.acq_ts.iloc[0]}")
@@ -141,7 +154,6 @@ def unions(tile_cells: DataFrame, total_cells: int, threshold: float, most: int,
         return made[made.tiles_count > 0]
 
     kind = tiles.schema["acq_ts"].dataType.simpleString()
-    # cells as dense numbers, so that a union is one integer
     return tiles.groupBy("acq_ts").applyInPandas(choose, f"acq_ts {kind}, tile_ids string, tiles_count int, cloud_score double, coverage_frac double")
 
 

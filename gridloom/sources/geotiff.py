@@ -55,10 +55,13 @@ def _tags(data: bytes) -> tuple[str, dict[int, tuple]]:
     return order, tags
 
 
-def decode(data: bytes) -> Raster:
+def decode(data: bytes, window: tuple[int, int, int, int] | None = None) -> Raster:
+    """The raster, or the part of it in a window (row, col, rows, cols); blocks outside it are not decompressed."""
     order, tags = _tags(data)
     one = lambda tag, default: tags.get(tag, (default,))[0]
     width, height, bands = one(_WIDTH, 0), one(_HEIGHT, 0), one(_BANDS, 1)
+    row0, col0, rows, cols = window or (0, 0, height, width)
+    row0, col0, row1, col1 = max(row0, 0), max(col0, 0), max(min(row0 + rows, height), 0), max(min(col0 + cols, width), 0)
     kind = _KINDS.get(({1: "uint", 3: "float"}.get(one(_FORMAT, 1), "?"), one(_BITS, 1)))
     compression, planar = one(_COMPRESSION, 1), one(_PLANAR, 1)
     if kind is None or compression not in (1, 8, 32946) or one(_PREDICTOR, 1) != 1 or (planar == 1 and bands > 1 and _TILES in tags):
@@ -68,20 +71,23 @@ def decode(data: bytes) -> Raster:
     offsets, counts = tags[_TILES if tiled else _STRIPS], tags[_TILE_COUNTS if tiled else _COUNTS]
     across, down = -(-width // tile_w), -(-height // tile_h)
     deep = bands if planar == 1 else 1
-    out = np.zeros((bands, height, width), kind)
+    out = np.zeros((bands, max(row1 - row0, 0), max(col1 - col0, 0)), kind)
     for i, (at, n) in enumerate(zip(offsets, counts, strict=True)):
-        raw = data[at : at + n] if compression == 1 else zlib.decompress(data[at : at + n])
         band, place = divmod(i, across * down)
         row, col = place // across * tile_h, place % across * tile_w
+        if row >= row1 or col >= col1 or row + tile_h <= row0 or col + tile_w <= col0:
+            continue
+        raw = data[at : at + n] if compression == 1 else zlib.decompress(data[at : at + n])
         rows = tile_h if tiled else min(tile_h, height - row)
         block = np.frombuffer(raw, np.dtype(kind).newbyteorder(order), rows * tile_w * deep).reshape(rows, tile_w, deep)
-        part = block[: min(rows, height - row), : min(tile_w, width - col)].transpose(2, 0, 1)
+        top, left = max(row, row0), max(col, col0)
+        part = block[top - row : min(rows, row1 - row), left - col : min(tile_w, col1 - col)].transpose(2, 0, 1)
         target = slice(0, bands) if planar == 1 else slice(band, band + 1)
-        out[target, row : row + part.shape[1], col : col + part.shape[2]] = part
+        out[target, top - row0 : top - row0 + part.shape[1], left - col0 : left - col0 + part.shape[2]] = part
     scale, tie, keys = tags.get(_SCALE, (1.0, 1.0, 0.0)), tags.get(_TIE, (0.0,) * 6), tags.get(_KEYS, ())
     epsg = next((keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i] in (2048, 3072)), None)
     nodata = tags.get(_NODATA)
-    return Raster(out, tie[3] - tie[0] * scale[0], tie[4] + tie[1] * scale[1], scale[0], scale[1], epsg, float(nodata[0]) if nodata and nodata[0].strip() else None)
+    return Raster(out, tie[3] + (col0 - tie[0]) * scale[0], tie[4] + (tie[1] - row0) * scale[1], scale[0], scale[1], epsg, float(nodata[0]) if nodata and nodata[0].strip() else None)
 
 
 def encode(raster: Raster, tile: int = 256) -> bytes:
@@ -143,11 +149,11 @@ def read_pixels(spark: SparkSession, path: str, window: tuple[int, int, int, int
     def pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raster = decode(data)
-                row0, col0, rows, cols = window or (0, 0, *raster.bands.shape[1:])
+                raster = decode(data, window)
+                row0, col0 = (max(window[0], 0), max(window[1], 0)) if window else (0, 0)
                 for band, plane in enumerate(raster.bands):
-                    for row in range(row0, min(row0 + rows, plane.shape[0]), 256):
-                        part = plane[row : min(row + 256, row0 + rows), col0 : col0 + cols].astype(np.float64)
+                    for row in range(row0, row0 + plane.shape[0], 256):
+                        part = plane[row - row0 : row - row0 + 256].astype(np.float64)
                         good = ~np.isnan(part) if raster.nodata is None else ~np.isnan(part) & (part != raster.nodata)
                         r, c = np.nonzero(good)
                         if len(r):
@@ -162,10 +168,11 @@ def read_layers(spark: SparkSession, path: str) -> DataFrame:
 
     def layers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [decode(d) for d in batch.column(1).to_pylist()]
+            files = batch.column(1).to_pylist()
+            found, tags = [decode(d, (0, 0, 0, 0)) for d in files], [_tags(d)[1] for d in files]
             columns = [batch.column(0), pa.array([r.epsg for r in found], pa.int32())]
             columns += [pa.array([getattr(r, k) for r in found], pa.float64()) for k in ("x0", "y0", "dx", "dy")]
-            columns += [pa.array([r.bands.shape[i] for r in found], pa.int32()) for i in (2, 1, 0)]
+            columns += [pa.array([t.get(tag, (default,))[0] for t in tags], pa.int32()) for tag, default in ((_WIDTH, 0), (_HEIGHT, 0), (_BANDS, 1))]
             columns += [pa.array([r.nodata for r in found], pa.float64()), pa.array([str(r.bands.dtype) for r in found])]
             yield pa.RecordBatch.from_arrays(columns, names=["path", "epsg", "x0", "y0", "dx", "dy", "width", "height", "bands", "nodata", "dtype"])
 

@@ -3,13 +3,14 @@
 import json
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
-from gridloom.operators import manifest, mosaic
+from gridloom.operators import catalog, manifest, mosaic
 from gridloom.session import checkpoint_dir
-from gridloom.sources import geojson, items, tables
+from gridloom.sources import geojson, geotiff, items, tables
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -74,3 +75,31 @@ def test_a_cluster_needs_a_shared_folder():
     session = type("Session", (), {"conf": type("C", (), {"get": staticmethod(lambda k, d: d)}), "sparkContext": Context})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(session)
+
+
+@pytest.mark.parametrize("shape", [(2, 600, 530), (1, 90, 40)])
+@pytest.mark.parametrize("window", [(250, 500, 20, 100), (-3, -2, 30, 9), (0, 0, 600, 530), (700, 0, 5, 5), (256, 256, 256, 256)])
+def test_a_window_is_a_part_of_the_raster(shape, window):
+    whole = geotiff.Raster(np.random.default_rng(1).random(shape).astype("float32"), 500.0, 900.0, 10.0, 20.0, 32634, -1.0)
+    part = geotiff.decode(geotiff.encode(whole), window)
+    row, col, rows, cols = window
+    row0, col0 = max(row, 0), max(col, 0)
+    assert np.array_equal(part.bands, whole.bands[:, row0 : row + rows, col0 : col + cols])
+    assert (part.x0, part.y0) == (500 + 10 * col0, 900 - 20 * row0)
+
+
+def test_a_window_reads_its_blocks_only(spark, tmp_path):
+    whole = geotiff.Raster(np.arange(1, 600 * 600 + 1, dtype="float32").reshape(1, 600, 600), nodata=0.0)
+    data = geotiff.encode(whole)
+    spoiled = bytearray(data)
+    spoiled[8:40] = bytes(32)  # the first block cannot be read any more
+    (tmp_path / "a.tif").write_bytes(bytes(spoiled))
+    got = {(r.row, r.col): r.value for r in geotiff.read_pixels(spark, str(tmp_path), (300, 300, 2, 3)).collect()}
+    assert got == {(r, c): float(r * 600 + c + 1) for r in (300, 301) for c in (300, 301, 302)}
+    layer = geotiff.read_layers(spark, str(tmp_path)).first()
+    assert (layer.width, layer.height, layer.bands, layer.dtype) == (600, 600, 1, "float32")
+
+
+def test_cells_as_bits():
+    assert catalog.cell_bits([np.array([7, 10**12]), np.array([9, 7]), np.array([], np.int64)]) == [0b101, 0b011, 0]
+    assert catalog.cell_bits([]) == []
