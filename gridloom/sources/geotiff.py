@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The tags used here, and sizes of the format's types.
-_WIDTH, _HEIGHT, _BITS, _COMPRESSION, _PHOTOMETRIC, _STRIPS, _BANDS, _ROWS, _COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
+_SUBFILE, _WIDTH, _HEIGHT, _BITS, _COMPRESSION, _PHOTOMETRIC, _STRIPS, _BANDS, _ROWS, _COUNTS = 254, 256, 257, 258, 259, 262, 273, 277, 278, 279
 _PLANAR, _PREDICTOR, _TILE_W, _TILE_H, _TILES, _TILE_COUNTS, _FORMAT = 284, 317, 322, 323, 324, 325, 339
 _SCALE, _TIE, _KEYS, _NODATA = 33550, 33922, 34735, 42113
 _TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 11: "f", 12: "d", 16: "Q"}
@@ -36,11 +36,17 @@ class Raster:
     nodata: float | None = None
 
 
-def _tags(data: bytes) -> tuple[str, dict[int, tuple]]:
+def _tags(data: bytes, image: int = 0) -> tuple[str, dict[int, tuple]]:
+    """Byte order and tags of the file's first image, or of a later one: its overviews."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if order is None or struct.unpack(order + "H", data[2:4])[0] != 42:
         raise ValueError("not a classic TIFF file")
     at = struct.unpack(order + "I", data[4:8])[0]
+    for _ in range(image):
+        at += 2 + 12 * struct.unpack(order + "H", data[at : at + 2])[0]
+        at = struct.unpack(order + "I", data[at : at + 4])[0]
+        if not at:
+            raise ValueError("the file has fewer images")
     tags = {}
     for i in range(struct.unpack(order + "H", data[at : at + 2])[0]):
         tag, kind, n = struct.unpack(order + "HHI", data[at + 2 + 12 * i : at + 10 + 12 * i])
@@ -55,9 +61,12 @@ def _tags(data: bytes) -> tuple[str, dict[int, tuple]]:
     return order, tags
 
 
-def decode(data: bytes, window: tuple[int, int, int, int] | None = None) -> Raster:
-    """The raster, or the part of it in a window (row, col, rows, cols); blocks outside it are not decompressed."""
-    order, tags = _tags(data)
+def decode(data: bytes, window: tuple[int, int, int, int] | None = None, image: int = 0) -> Raster:
+    """The raster, or the part of it in a window (row, col, rows, cols); blocks outside it are not decompressed.
+
+    image: 0, or the number of an overview, which has no grid of its own.
+    """
+    order, tags = _tags(data, image)
     one = lambda tag, default: tags.get(tag, (default,))[0]
     width, height, bands = one(_WIDTH, 0), one(_HEIGHT, 0), one(_BANDS, 1)
     row0, col0, rows, cols = window or (0, 0, height, width)
@@ -90,43 +99,69 @@ def decode(data: bytes, window: tuple[int, int, int, int] | None = None) -> Rast
     return Raster(out, tie[3] + (col0 - tie[0]) * scale[0], tie[4] + (tie[1] - row0) * scale[1], scale[0], scale[1], epsg, float(nodata[0]) if nodata and nodata[0].strip() else None)
 
 
-def encode(raster: Raster, tile: int = 256) -> bytes:
-    """Deflated; in tiles only if both sides are at least one tile long, else in one strip a band."""
-    bands, height, width = raster.bands.shape
-    kind = raster.bands.dtype
+def encode(raster: Raster, tile: int = 256, levels: tuple[int, ...] = ()) -> bytes:
+    """Deflated; in tiles only if both sides are at least one tile long, else in one strip a band.
+
+    levels: factors of overviews, each block's top left cell, written after the raster as far as it is large enough.
+    """
+    height, width = raster.bands.shape[1:]
+    planes = [raster.bands]
+    for level in levels:
+        if min(height, width) // level >= 1:
+            planes.append(raster.bands[:, : height // level * level : level, : width // level * level : level])
+    out = bytearray(struct.pack("<2sHI", b"II", 42, 0))
+    link = 4  # where the place of the next image goes
+    for number, plane in enumerate(planes):
+        entries = _image(out, plane, raster, tile, number > 0)
+        out += b"\0" * (len(out) & 1)
+        struct.pack_into("<I", out, link, len(out))
+        link = len(out) + 2 + 12 * len(entries)
+        out += _directory(entries, len(out))
+    return bytes(out)
+
+
+def _image(out: bytearray, plane: np.ndarray, raster: Raster, tile: int, overview: bool) -> list[tuple[int, int, list]]:
+    """Adds the plane's blocks to the file, and gives its tags (number, type, values)."""
+    bands, height, width = plane.shape
+    kind = plane.dtype
     name = next((k for k, v in _KINDS.items() if v == kind.type), None)
     if name is None:
         raise ValueError(f"unsupported type: {kind}")
     tiled = min(height, width) >= tile
     tile_h, tile_w = (tile, tile) if tiled else (height, width)
-    blocks = []
+    offsets, counts = [], []
     for band in range(bands):
         for row in range(0, height, tile_h):
             for col in range(0, width, tile_w):
                 block = np.zeros((tile_h, tile_w), kind.newbyteorder("<"))
-                part = raster.bands[band, row : row + tile_h, col : col + tile_w]
+                part = plane[band, row : row + tile_h, col : col + tile_w]
                 block[: part.shape[0], : part.shape[1]] = part
-                blocks.append(zlib.compress(block.tobytes(), 6))
-    offsets = np.cumsum([8, *map(len, blocks)])
+                raw = zlib.compress(block.tobytes(), 6)
+                offsets.append(len(out))
+                counts.append(len(raw))
+                out += raw
     keys = [1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, raster.epsg] if raster.epsg else []
-    entries = [
+    grid = [(_SCALE, 12, [raster.dx, raster.dy, 0.0]), (_TIE, 12, [0.0, 0.0, 0.0, raster.x0, raster.y0, 0.0]), *([(_KEYS, 3, keys)] if keys else [])]
+    return [
+        *([(_SUBFILE, 4, [1])] if overview else []),
         (_WIDTH, 4, [width]),
         (_HEIGHT, 4, [height]),
         (_BITS, 3, [name[1]] * bands),
         (_COMPRESSION, 3, [8]),
         (_PHOTOMETRIC, 3, [1]),
-        *([] if tiled else [(_STRIPS, 4, offsets[:-1].tolist())]),
+        *([] if tiled else [(_STRIPS, 4, offsets)]),
         (_BANDS, 3, [bands]),
-        *([] if tiled else [(_ROWS, 4, [height]), (_COUNTS, 4, [*map(len, blocks)])]),
+        *([] if tiled else [(_ROWS, 4, [height]), (_COUNTS, 4, counts)]),
         (_PLANAR, 3, [2 if bands > 1 else 1]),
-        *([(_TILE_W, 4, [tile]), (_TILE_H, 4, [tile]), (_TILES, 4, offsets[:-1].tolist()), (_TILE_COUNTS, 4, [*map(len, blocks)])] if tiled else []),
+        *([(_TILE_W, 4, [tile]), (_TILE_H, 4, [tile]), (_TILES, 4, offsets), (_TILE_COUNTS, 4, counts)] if tiled else []),
         (_FORMAT, 3, [{"uint": 1, "float": 3}[name[0]]] * bands),
-        (_SCALE, 12, [raster.dx, raster.dy, 0.0]),
-        (_TIE, 12, [0.0, 0.0, 0.0, raster.x0, raster.y0, 0.0]),
-        *([(_KEYS, 3, keys)] if keys else []),
+        *([] if overview else grid),
         *([(_NODATA, 2, [f"{raster.nodata:g}\0".encode()])] if raster.nodata is not None else []),
     ]
-    at = int(offsets[-1]) + (int(offsets[-1]) & 1)
+
+
+def _directory(entries: list[tuple[int, int, list]], at: int) -> bytes:
+    """The tags as they stand in the file from `at` on, with no next image."""
     table, extra, rest = b"", b"", at + 2 + 12 * len(entries) + 4
     for tag, code, values in entries:
         raw = values[0] if code == 2 else struct.pack("<" + _TYPES[code] * len(values), *values)
@@ -136,8 +171,7 @@ def encode(raster: Raster, tile: int = 256) -> bytes:
         else:
             place = raw.ljust(4, b"\0")
         table += struct.pack("<HHI", tag, code, n) + place
-    body = b"".join(blocks)
-    return struct.pack("<2sHI", b"II", 42, at) + body + b"\0" * (len(body) & 1) + struct.pack("<H", len(entries)) + table + struct.pack("<I", 0) + extra
+    return struct.pack("<H", len(entries)) + table + struct.pack("<I", 0) + extra
 
 
 _PIXELS = "path string, band int, row int, col int, value double"
@@ -180,8 +214,11 @@ def read_layers(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInArrow(layers, "path string, epsg int, x0 double, y0 double, dx double, dy double, width int, height int, bands int, nodata double, dtype string")
 
 
-def encoded(pixels: DataFrame, height: int, width: int, like: Raster, dtype: str = "float32", bands: int = 1) -> DataFrame:
-    """pixels (name, band, row, col, value): name and content, the bytes of one GeoTIFF each; missing cells are nodata."""
+def encoded(pixels: DataFrame, height: int, width: int, like: Raster, dtype: str = "float32", bands: int = 1, levels: tuple[int, ...] = ()) -> DataFrame:
+    """pixels (name, band, row, col, value): name and content, the bytes of one GeoTIFF each; missing cells are nodata.
+
+    levels: factors of overviews.
+    """
     cells = pixels.groupBy("name").agg(F.collect_list(F.struct("band", "row", "col", "value")).alias("cells"))
     grid = (like.x0, like.y0, like.dx, like.dy, like.epsg, like.nodata)
 
@@ -193,7 +230,7 @@ def encoded(pixels: DataFrame, height: int, width: int, like: Raster, dtype: str
                 plane = np.full((bands, height, width), grid[-1] if grid[-1] is not None else 0, dtype)
                 at = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
                 plane[at[0], at[1], at[2]] = at[3]
-                out.append(encode(Raster(plane, *grid)))
+                out.append(encode(Raster(plane, *grid), levels=levels))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["name", "content"])
 
     return cells.mapInArrow(files, "name string, content binary")

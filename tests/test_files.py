@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
-from gridloom.operators import catalog, manifest, mosaic
+from gridloom.operators import catalog, downsample, manifest, mosaic
 from gridloom.session import checkpoint_dir
 from gridloom.sources import geojson, geotiff, items, tables
 
@@ -103,3 +103,18 @@ def test_a_window_reads_its_blocks_only(spark, tmp_path):
 def test_cells_as_bits():
     assert catalog.cell_bits([np.array([7, 10**12]), np.array([9, 7]), np.array([], np.int64)]) == [0b101, 0b011, 0]
     assert catalog.cell_bits([]) == []
+
+
+def test_overviews_are_the_nearest_cells(spark):
+    plane = np.arange(1, 2 * 530 * 300 + 1, dtype="float32").reshape(2, 530, 300)
+    data = geotiff.encode(geotiff.Raster(plane, 5.0, 6.0, 10.0, 10.0, 32634, 0.0), levels=(2, 4, 512))
+    assert np.array_equal(geotiff.decode(data).bands, plane) and geotiff.decode(data).epsg == 32634
+    assert [geotiff.decode(data, image=i).bands.shape for i in (1, 2)] == [(2, 265, 150), (2, 132, 75)]
+    with pytest.raises(ValueError, match="fewer images"):
+        geotiff.decode(data, image=3)
+    small = np.arange(1, 36, dtype="float32").reshape(1, 5, 7)
+    cells = spark.createDataFrame([("f", 0, r, c, float(small[0, r, c])) for r in range(5) for c in range(7)], "name string, band int, row int, col int, value double")
+    made = geotiff.encoded(cells, 5, 7, geotiff.Raster(small, nodata=0.0), levels=(2,)).first()
+    got = geotiff.decode(bytes(made.content), image=1).bands[0]
+    want = {(r.row, r.col): r.value for r in downsample.block_nearest(cells.select("row", "col", "value"), 2, 5, 7).collect()}
+    assert {(r, c): float(got[r, c]) for r in range(got.shape[0]) for c in range(got.shape[1])} == want
