@@ -141,6 +141,16 @@ def test_features_take_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_a_tie_with_the_limit_does_not_persist(spark):
+    """0.6 - 0.8 is below -0.2 in doubles, not in truth; 1e-9 less is below in both."""
+    stacks = [[0.6, 1.0], [0.6 - 1e-9, 1.0 + 1e-9], [0.1, 0.2, 0.6], [0.6, 0.2, 0.1]]
+    assert stacks[0][0] - sum(stacks[0]) / 2 < features.PERSISTENT
+    rows = [(i, 0, t, date(2020 + t, 5, 15), v) for i, values in enumerate(stacks) for t, v in enumerate(values)]
+    stack = spark.createDataFrame(rows, "row int, col int, t int, mid date, x double")
+    got = features.pixel_features(stack, features.TimeAxis(tuple(date(2020 + t, 5, 15) for t in range(3)))).collect()
+    assert {r["row"]: r["anomaly_persistence"] for r in got} == {i: int(i == 1) for i in range(len(stacks))}
+
+
 def test_filled_series(spark):
     rows = [("a", "2021-01", 1.0, 1.0), ("a", "2021-03", 3.0, None), ("a", "2021-05", 5.0, 5.0), ("a", "2021-Q1", 9.0, 8.0), ("b", "2021-Q1", 1.0, 1.0)]
     df = spark.createDataFrame(rows, "aoi_id string, period string, mean_ndvi double, median_ndvi double")
