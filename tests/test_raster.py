@@ -151,6 +151,14 @@ def test_a_tie_with_the_limit_does_not_persist(spark):
     assert {r["row"]: r["anomaly_persistence"] for r in got} == {i: int(i == 1) for i in range(len(stacks))}
 
 
+def test_features_do_not_depend_on_the_order_of_rows(spark):
+    dates = tuple(date(2016 + t // 12, t % 12 + 1, 15) for t in range(84))
+    x = np.random.default_rng(5).uniform(-1, 1, (10, 84))
+    rows = [(i, 0, t, dates[t], float(v)) for (i, t), v in np.ndenumerate(x)]
+    made = [features.pixel_features(spark.createDataFrame(r, "row int, col int, t int, mid date, x double").coalesce(1), features.TimeAxis(dates)) for r in (rows, rows[::-1])]
+    assert sorted(map(tuple, made[0].collect())) == sorted(map(tuple, made[1].collect()))
+
+
 def test_filled_series(spark):
     rows = [("a", "2021-01", 1.0, 1.0), ("a", "2021-03", 3.0, None), ("a", "2021-05", 5.0, 5.0), ("a", "2021-Q1", 9.0, 8.0), ("b", "2021-Q1", 1.0, 1.0)]
     df = spark.createDataFrame(rows, "aoi_id string, period string, mean_ndvi double, median_ndvi double")
